@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from siltstone.llm import chunk_reuse, packing, token_counts
+from siltstone.llm import chunk_reuse, packing, simhash, token_counts
 
 
 def tokenizer_path(name: str) -> str:
@@ -27,12 +27,16 @@ def op3_chunk_reuse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk_reuse.encode_decode_digests(documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.json"))
 
 
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(documents(spark, sf_dir))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), tokenizer_path("word_bpe_49k.json"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_token_counts, op3_chunk_reuse, op7_packing)}
+    return {f.__name__: f for f in (op2_token_counts, op3_chunk_reuse, op6_simhash, op7_packing)}
 
 
 def oracle_sql() -> dict[str, str]:

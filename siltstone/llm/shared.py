@@ -7,6 +7,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
@@ -79,3 +80,60 @@ def table(schema: pa.Schema, **columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [c if isinstance(c := columns[f.name], pa.Array) else pa.array(c, type=f.type) for f in schema], schema=schema
     )
+
+
+#: An odd multiplier; hashes are sums of symbol * BASE**place, modulo 2**64.
+BASE = 0x9E3779B97F4A7C15
+_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+_is_space = np.zeros(256, bool)
+_is_space[[0x20, *range(0x09, 0x0E)]] = True
+
+
+def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """base**i and base**-i modulo 2**64 for i up to n at least."""
+    have = _powers.get(base)
+    if have is None or len(have[0]) <= n:
+        size = max(1 << 16, 1 << n.bit_length())
+        both = []
+        for b in (base, pow(base, -1, 1 << 64)):
+            p = np.empty(size, np.uint64)
+            p[0], k = 1, 1
+            while k < size:  # doubling
+                p[k : 2 * k] = p[:k] * np.uint64(pow(b, k, 1 << 64))
+                k *= 2
+            both.append(p)
+        have = _powers[base] = tuple(both)
+    return have
+
+
+def mixed(h: np.ndarray) -> np.ndarray:
+    """A bijection of 64-bit integers after which all bits depend on all bits."""
+    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return h ^ (h >> np.uint64(31))
+
+
+def spans_hash(symbols: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int = BASE) -> np.ndarray:
+    """A 64-bit hash of symbols[a:b] for each pair of places; equal sequences have equal hashes."""
+    up, down = powers(base, len(symbols))
+    total = np.zeros(len(symbols) + 1, np.uint64)
+    np.cumsum(symbols.astype(np.uint64, copy=False) * up[: len(symbols)], out=total[1:])
+    return mixed((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+
+
+def word_places(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends, in bytes, of the maximal runs without ASCII white space (0x20, 0x09-0x0D)."""
+    solid = np.zeros(len(raw) + 2, np.int8)
+    solid[1:-1] = ~_is_space[raw]
+    edge = np.diff(solid)
+    return np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+
+
+def text_words(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of texts (null: no word) end to end: the bytes; each word's start and end; the words' hashes;
+    the number of words before each text, and all."""
+    data = [t.encode() if t else b"" for t in texts]
+    raw = np.frombuffer(b"\n".join(data), np.uint8)
+    starts, ends = word_places(raw)
+    first = np.cumsum([0, *(len(d) + 1 for d in data)])
+    return raw, starts, ends, spans_hash(raw, starts, ends), np.searchsorted(starts, first)
