@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from siltstone.llm import chunk_reuse, packing, simhash, token_counts
+from siltstone.llm import chunk_reuse, packing, simhash, substring, token_counts
 
 
 def tokenizer_path(name: str) -> str:
@@ -27,6 +27,10 @@ def op3_chunk_reuse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk_reuse.encode_decode_digests(documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.json"))
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.deduplicate_digests(documents(spark, sf_dir))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir))
 
@@ -36,7 +40,7 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_token_counts, op3_chunk_reuse, op6_simhash, op7_packing)}
+    return {f.__name__: f for f in (op2_token_counts, op3_chunk_reuse, op5_substring_dedup, op6_simhash, op7_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
