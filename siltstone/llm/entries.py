@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from siltstone.llm import chunk_reuse, packing, simhash, substring, token_counts
+from siltstone.llm import chunk_reuse, language_id, packing, simhash, substring, token_counts
 
 
 def tokenizer_path(name: str) -> str:
@@ -39,8 +39,12 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), tokenizer_path("word_bpe_49k.json"))
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.held_out_languages(documents(spark, sf_dir))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_token_counts, op3_chunk_reuse, op5_substring_dedup, op6_simhash, op7_packing)}
+    return {f.__name__: f for f in (op2_token_counts, op3_chunk_reuse, op5_substring_dedup, op6_simhash, op7_packing, op10_language_id)}
 
 
 def oracle_sql() -> dict[str, str]:
