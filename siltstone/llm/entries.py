@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from siltstone.llm import chunk_reuse, language_id, packing, simhash, substring, token_counts
+from siltstone.llm import chunk_reuse, language_id, packing, perplexity, simhash, substring, token_counts
 
 
 def tokenizer_path(name: str) -> str:
@@ -19,6 +19,10 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return perplexity.quality_rules(documents(spark, sf_dir))
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.json"))
 
@@ -44,7 +48,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_token_counts, op3_chunk_reuse, op5_substring_dedup, op6_simhash, op7_packing, op10_language_id)}
+    return {f.__name__: f for f in (op1_quality_rules, op2_token_counts, op3_chunk_reuse, op5_substring_dedup, op6_simhash, op7_packing, op10_language_id)}
 
 
 def oracle_sql() -> dict[str, str]:
