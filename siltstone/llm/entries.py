@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from siltstone.llm import chunk_reuse, language_id, packing, perplexity, simhash, substring, token_counts
+from siltstone.llm import chunk_reuse, classifier, language_id, packing, perplexity, simhash, substring, token_counts
 
 
 def tokenizer_path(name: str) -> str:
@@ -31,6 +31,10 @@ def op3_chunk_reuse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk_reuse.encode_decode_digests(documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.json"))
 
 
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classifier.held_out_quality(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.deduplicate_digests(documents(spark, sf_dir))
 
@@ -48,7 +52,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_rules, op2_token_counts, op3_chunk_reuse, op5_substring_dedup, op6_simhash, op7_packing, op10_language_id)}
+    return {f.__name__: f for f in (op1_quality_rules, op2_token_counts, op3_chunk_reuse, op4_quality_classifier, op5_substring_dedup, op6_simhash, op7_packing, op10_language_id)}
 
 
 def oracle_sql() -> dict[str, str]:
