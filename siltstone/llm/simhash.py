@@ -220,7 +220,7 @@ def near_duplicates(df: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE,
 def representatives(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """df with one row of each class of near_duplicates(): that of the smallest id; of several rows
     of that id, one. Rows with a null id all stay."""
-    kept = near_duplicates(df, id_col=id_col, text_col=text_col, **options).filter(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias("_kept")).distinct()
+    kept = near_duplicates(df, id_col=id_col, text_col=text_col, **options).filter(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias("siltstone_kept")).distinct()
     nth = F.row_number().over(W.partitionBy(id_col).orderBy(F.lit(0)))
-    alone = df.filter(F.col(id_col).isNotNull()).join(kept, F.col(id_col) == F.col("_kept"), "left_semi").withColumn("_nth", nth).filter("_nth = 1").drop("_nth")
+    alone = df.filter(F.col(id_col).isNotNull()).join(kept, F.col(id_col) == F.col("siltstone_kept"), "left_semi").withColumn("siltstone_nth", nth).filter("siltstone_nth = 1").drop("siltstone_nth")
     return alone.unionByName(df.filter(F.col(id_col).isNull()))

@@ -135,10 +135,13 @@ def covered(factors: np.ndarray, n_words: int) -> np.ndarray:
     return np.cumsum(edge[:-1]) > 0
 
 
-def _apply(df: DataFrame, window: int, bloom_bits: int, id_col: str, text_col: str, make, schema: pa.Schema, sql: str) -> DataFrame:
+def _apply(df: DataFrame, window: int, bloom_bits: int, id_col: str, text_col: str, make, schema: pa.Schema, sql: str, carry: tuple[str, ...] = ()) -> DataFrame:
+    """make(text, words, factors) for each row; columns named in carry pass through."""
     hits = duplicate_runs(df, window, bloom_bits, id_col, text_col).withColumnRenamed("id", "hit_id")
-    rows = _rows(df, id_col, text_col)
-    joined = rows.join(hits, F.col("id") == F.col("hit_id"), "left").select("id", "text", F.col("hits.pos").alias("pos"), F.col("hits.ref").alias("ref"))
+    along = [f"c{i}" for i in range(len(carry))]
+    rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), *(F.col(c).alias(a) for c, a in zip(carry, along, strict=True)))
+    joined = rows.join(hits, F.col("id") == F.col("hit_id"), "left").select("id", "text", F.col("hits.pos").alias("pos"), F.col("hits.ref").alias("ref"), *along)
+    sql = ", ".join([sql, *(f"{a} {df.schema[c].dataType.simpleString()}" for c, a in zip(carry, along, strict=True))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -154,9 +157,11 @@ def _apply(df: DataFrame, window: int, bloom_bits: int, id_col: str, text_col: s
                     pos, ref = pos[order], ref[order]
                 out.append(make(text, words, parse(pos, ref, window)))
             columns = dict(zip(schema.names[1:], map(list, zip(*out, strict=True)), strict=True)) if out else {k: [] for k in schema.names[1:]}
-            yield table(schema, id=batch.column("id"), **columns)
+            made = table(schema, id=batch.column("id"), **columns)
+            yield pa.RecordBatch.from_arrays([*made.columns, *(batch.column(a) for a in along)], names=[*schema.names, *along])
 
-    return joined.mapInArrow(run, sql).withColumnRenamed("id", id_col)
+    found = joined.mapInArrow(run, sql)
+    return found.select(F.col("id").alias(id_col), *schema.names[1:], *(F.col(a).alias(c) for c, a in zip(carry, along, strict=True)))
 
 
 DIGEST = pa.schema([("id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string())])
@@ -170,15 +175,15 @@ def _kept(words: list[bytes], factors: np.ndarray) -> list[bytes]:
     return [w for w, g in zip(words, gone.tolist(), strict=True) if not g]
 
 
-def deduplicate(df: DataFrame, window: int = WINDOW, bloom_bits: int = BLOOM_BITS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def deduplicate(df: DataFrame, window: int = WINDOW, bloom_bits: int = BLOOM_BITS, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
     """One row for each row of df: id_col, n_words, n_removed, kept (the text; where words were
-    removed, those left, joined by single spaces; null for null) and spans (first word, words,
-    reference id) in the text's order.
+    removed, those left, joined by single spaces; null for null), spans (first word, words,
+    reference id) in the text's order, and the columns named in carry.
 
     Words are runs without ASCII white space. Null and empty texts and texts of fewer than `window`
     words lose nothing. Rows with a null id are no references and lose nothing. Rows of one id are
     one document as references and lose nothing to each other. Ties go to the smallest id. An empty
-    table gives no rows; other columns are not read. Hot runs are reduced to their first id before
+    table gives no rows; columns not carried are not read. Hot runs are reduced to their first id before
     they are shuffled; the join back may be split by key. Memory: one document's words and runs.
     """
 
@@ -187,7 +192,7 @@ def deduplicate(df: DataFrame, window: int = WINDOW, bloom_bits: int = BLOOM_BIT
         spans = [{"start": a, "words": n, "ref": r} for a, n, r in factors.tolist()]
         return len(words), len(words) - len(kept), text if len(kept) == len(words) else b" ".join(kept).decode(), spans
 
-    return _apply(df, window, bloom_bits, id_col, text_col, make, TEXT, "id long, n_words long, n_removed long, kept string, spans array<struct<start: long, words: long, ref: long>>")
+    return _apply(df, window, bloom_bits, id_col, text_col, make, TEXT, "id long, n_words long, n_removed long, kept string, spans array<struct<start: long, words: long, ref: long>>", carry)
 
 
 def deduplicate_digests(df: DataFrame, window: int = WINDOW, bloom_bits: int = BLOOM_BITS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
