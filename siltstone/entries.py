@@ -222,6 +222,10 @@ def rrf_fusion(spark, sf_dir):
     return search.fuse([dense, _lexical(spark, sf_dir)]).withColumn("score", F.round("score", 9))
 
 
+#: The same where only vectors of documents count.
+OWN_LISTS = LISTS.replace("label FROM embeddings)", "label FROM embeddings WHERE vec_id IN (SELECT doc_id FROM documents))")
+
+
 def searchable(spark, sf_dir) -> DataFrame:
     """documents beside the vectors of the same number, where there is one."""
     docs = raw(spark, sf_dir).select(F.col("doc_id").alias("chunk_id"), "source_id", "source_type", "repo", F.col("language").alias("file_path"), F.concat(F.lit("s"), "doc_id").alias("symbol_name"), F.lit("section").alias("symbol_type"), F.col("content").alias("display_content"), F.lit(None).cast("string").alias("url"))
@@ -229,12 +233,12 @@ def searchable(spark, sf_dir) -> DataFrame:
     return docs.join(held, "chunk_id", "left")
 
 
-@query(f"WITH {LISTS} SELECT id AS chunk_id, round(score, 9) AS score, CAST(row_number() OVER (ORDER BY score DESC, first) AS INT) AS place FROM fused JOIN documents ON doc_id = id ORDER BY fused.score DESC, first LIMIT 10")
+@query(f"WITH {OWN_LISTS} SELECT id AS chunk_id, round(score, 9) AS score, CAST(row_number() OVER (ORDER BY score DESC, first) AS INT) AS place FROM fused JOIN documents ON doc_id = id ORDER BY fused.score DESC, first LIMIT 10")
 def hybrid_search(spark, sf_dir):
     return search.search(searchable(spark, sf_dir), QUERY, query_vector(spark, sf_dir)).select("chunk_id", F.round("score", 9).alias("score"), "place")
 
 
-@query(f"""WITH {LISTS} SELECT row_number() OVER (ORDER BY score DESC, first) || '. [score ' || printf('%.4f', score) || '] ' || lang || ' :: s' || doc_id || ' (section)' || chr(10) || '```' || chr(10) || text || chr(10) || '```' AS shown
+@query(f"""WITH {OWN_LISTS} SELECT row_number() OVER (ORDER BY score DESC, first) || '. [score ' || printf('%.4f', score) || '] ' || lang || ' :: s' || doc_id || ' (section)' || chr(10) || '```' || chr(10) || text || chr(10) || '```' AS shown
     FROM fused JOIN documents ON doc_id = id ORDER BY score DESC, first LIMIT 10""")
 def search_formatted(spark, sf_dir):
     return search.search(searchable(spark, sf_dir), QUERY, query_vector(spark, sf_dir)).select(result_text().alias("shown"))

@@ -6,8 +6,10 @@ base, groups (partitions, 2 by default, as providers limit how much is asked at
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from datetime import datetime
+from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -72,10 +74,9 @@ def register(spark: SparkSession) -> None:
 
 def read_checkout(spark: SparkSession, path: str, repo: str, provider: str = "github", ref: str = "main") -> DataFrame:
     """Raw documents from a checked-out tree on any file system Spark reads: files that are taken, by their path below `path`."""
-    root = path.rstrip("/")
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).select("path", "content")
-    below = F.regexp_replace(F.col("path"), "^.*?" + root.rpartition(":")[2].replace(".", "\\."), "")
-    named = files.withColumn("file_path", F.regexp_replace(below, "^/+", "")).filter(is_ingestible(F.col("file_path")))
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "content")
+    root = re.escape(urlparse(path).path.rstrip("/"))
+    named = files.withColumn("file_path", F.regexp_replace("path", f"^.*?{root}/+", "")).filter(is_ingestible(F.col("file_path")))
     text = F.expr("try_validate_utf8(CAST(content AS STRING))")
     docs = named.withColumn("content", F.coalesce(text, F.decode("content", "ISO-8859-1")))
     lit = F.lit
