@@ -172,8 +172,9 @@ class Tile:
 
 
 def links(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """(a, b): links between distinct fingerprints at radius or fewer differing bits, enough of them
-    to connect what is connected: at most one a fingerprint and class in each tile that it meets."""
+    """(a, b): pairs that connect what links of radius or fewer differing bits connect, and nothing else.
+    A tile gives a fingerprint paired with one member of its class, and classes that it joins, not
+    all pairs within a class; so pairs grow with the fingerprints, not with the square of a class."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tile, now = None, None

@@ -15,6 +15,7 @@ row and changes no result. Equality of runs is that of 64-bit hashes.
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,7 +32,7 @@ RUN_BASE = 0xD1B54A32D192ED03
 HASHED = 1 << 20
 
 ANCHORS = pa.schema([("anchor", pa.int64()), ("id", pa.int64())])
-RUNS = pa.schema([("run", pa.int64()), ("id", pa.int64()), ("pos", pa.int32())])
+RUNS = pa.schema([("run", pa.int64()), ("id", pa.int64()), ("place", pa.int64())])
 
 
 def least_of(h: np.ndarray, width: int) -> np.ndarray:
@@ -66,6 +67,11 @@ def slots(anchor: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     return anchor & np.uint64(bits - 1), (anchor >> np.uint64(32)) & np.uint64(bits - 1)
 
 
+def text_mark(text: str | None) -> int:
+    """31 bits that tell rows of one id apart."""
+    return zlib.crc32((text or "").encode()) >> 1
+
+
 def _rows(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
 
@@ -93,8 +99,9 @@ def shared_anchors(rows: DataFrame, window: int, bits: int) -> np.ndarray:
 
 
 def duplicate_runs(df: DataFrame, window: int = WINDOW, bloom_bits: int = BLOOM_BITS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, hits): for each document that has any, the runs of `window` words, by the place of their
-    first word, that also start in a document with a smaller id, and the smallest such id (ref)."""
+    """(id, hits): for each id that has any, the runs of `window` words that also start in a document with
+    a smaller id: the place of the first word, above it 31 bits of the text that it stands in, and the
+    smallest such id (ref)."""
     rows = _rows(df, id_col, text_col).filter("id is not null and text is not null")
     sent = df.sparkSession.sparkContext.broadcast(shared_anchors(rows, window, bloom_bits))
 
@@ -107,11 +114,12 @@ def duplicate_runs(df: DataFrame, window: int = WINDOW, bloom_bits: int = BLOOM_
                 keep = np.ones(len(anchor), bool)
                 for bit in slots(anchor, bloom_bits):
                     keep &= (held[bit >> np.uint64(6)] >> (bit & np.uint64(63)) & np.uint64(1)).astype(bool)
-                yield table(RUNS, run=run[keep].view(np.int64), id=ids[a:b][text[keep]], pos=pos[keep].astype(np.int32))
+                mark = np.fromiter(map(text_mark, texts[a:b]), np.int64, b - a) << 32
+                yield table(RUNS, run=run[keep].view(np.int64), id=ids[a:b][text[keep]], place=mark[text[keep]] | pos[keep])
 
-    found = rows.mapInArrow(find, "run long, id long, pos int")
+    found = rows.mapInArrow(find, "run long, id long, place long")
     first = found.groupBy("run").agg(F.min("id").alias("ref"), F.max("id").alias("last")).filter("ref < last").drop("last")
-    hits = found.join(first, "run").filter("id > ref").select("id", F.struct("pos", "ref").alias("hit"))
+    hits = found.join(first, "run").filter("id > ref").select("id", F.struct("place", "ref").alias("hit"))
     return hits.groupBy("id").agg(F.collect_list("hit").alias("hits"))
 
 
@@ -140,7 +148,7 @@ def _apply(df: DataFrame, window: int, bloom_bits: int, id_col: str, text_col: s
     hits = duplicate_runs(df, window, bloom_bits, id_col, text_col).withColumnRenamed("id", "hit_id")
     along = [f"c{i}" for i in range(len(carry))]
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), *(F.col(c).alias(a) for c, a in zip(carry, along, strict=True)))
-    joined = rows.join(hits, F.col("id") == F.col("hit_id"), "left").select("id", "text", F.col("hits.pos").alias("pos"), F.col("hits.ref").alias("ref"), *along)
+    joined = rows.join(hits, F.col("id") == F.col("hit_id"), "left").select("id", "text", F.col("hits.place").alias("place"), F.col("hits.ref").alias("ref"), *along)
     sql = ", ".join([sql, *(f"{a} {df.schema[c].dataType.simpleString()}" for c, a in zip(carry, along, strict=True))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -150,11 +158,14 @@ def _apply(df: DataFrame, window: int, bloom_bits: int, id_col: str, text_col: s
                 text = texts[i].as_py()
                 words = (text or "").encode().split()
                 pos = ref = np.empty(0, np.int64)
-                if batch.column("pos")[i].is_valid:
-                    pos = np.asarray(batch.column("pos")[i].values).astype(np.int64)
-                    ref = np.asarray(batch.column("ref")[i].values)
-                    order = np.argsort(pos, kind="stable")
-                    pos, ref = pos[order], ref[order]
+                if batch.column("place")[i].is_valid:
+                    place, ref = np.asarray(batch.column("place")[i].values), np.asarray(batch.column("ref")[i].values)
+                    own = np.flatnonzero(place >> 32 == text_mark(text))
+                    own = own[np.argsort(place[own], kind="stable")]
+                    pos, ref = place[own] & 0xFFFFFFFF, ref[own]
+                    new = np.ones(len(pos), bool)  # of equal rows, each hit once
+                    new[1:] = pos[1:] != pos[:-1]
+                    pos, ref = pos[new], ref[new]
                 out.append(make(text, words, parse(pos, ref, window)))
             columns = dict(zip(schema.names[1:], map(list, zip(*out, strict=True)), strict=True)) if out else {k: [] for k in schema.names[1:]}
             made = table(schema, id=batch.column("id"), **columns)

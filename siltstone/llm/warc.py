@@ -115,7 +115,7 @@ def warc_record(fields: list[tuple[str, object]], block: bytes = b"") -> bytes:
 
 def converted(r: ArcRecord, keep: int | None = None) -> bytes:
     """The WARC record of an ARC record: a response, or, where another page keeps the payload, a revisit of that."""
-    date = datetime.strptime(r.date[:14].ljust(14, "0"), "%Y%m%d%H%M%S").strftime("%Y-%m-%dT%H:%M:%SZ")
+    date = datetime.strptime((r.date[:14] + "00000101000000"[len(r.date[:14]) :]), "%Y%m%d%H%M%S").strftime("%Y-%m-%dT%H:%M:%SZ")
     http, payload = http_parts(r.body)
     page, sha = http.get("x-page-id"), digest(payload)
     fields = [("WARC-Record-ID", record_id(page, sha, r.url, date)), ("WARC-Date", date), ("WARC-Target-URI", r.url), ("WARC-IP-Address", r.ip), ("WARC-Payload-Digest", f"sha1:{sha}")]
