@@ -118,8 +118,10 @@ def duplicate_runs(df: DataFrame, window: int = WINDOW, bloom_bits: int = BLOOM_
                 yield table(RUNS, run=run[keep].view(np.int64), id=ids[a:b][text[keep]], place=mark[text[keep]] | pos[keep])
 
     found = rows.mapInArrow(find, "run long, id long, place long")
-    first = found.groupBy("run").agg(F.min("id").alias("ref"), F.max("id").alias("last")).filter("ref < last").drop("last")
-    hits = found.join(first, "run").filter("id > ref").select("id", F.struct("place", "ref").alias("hit"))
+    first = found.groupBy("run").agg(F.min("id").alias("ref"), F.max("id").alias("last")).filter("ref < last")
+    # by another key than the aggregate's, so that both sides are dealt anew and a hot run's part of the left one can be split
+    key = F.col("run").bitwiseXOR(F.lit(RUN_BASE >> 1)).alias("key")
+    hits = found.select(key, "id", "place").join(first.select(key, "ref"), "key").filter("id > ref").select("id", F.struct("place", "ref").alias("hit"))
     return hits.groupBy("id").agg(F.collect_list("hit").alias("hits"))
 
 
