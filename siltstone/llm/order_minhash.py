@@ -108,10 +108,10 @@ def block_of(key: Column, bounds: list[int]) -> Column:
     return F.coalesce(F.when(key.isNotNull(), found), F.lit(0))
 
 
-def with_next(df: DataFrame, columns: list[str], most_blocks: int = MOST_BLOCKS) -> DataFrame:
-    """df (id, text, ...) with next_<column> from the row that follows in descending order of id; the
-    last is followed by the first. Rows of one id follow each other by the hash of their text; null ids
-    come last.
+def with_next(df: DataFrame, derived: dict[str, Column], most_blocks: int = MOST_BLOCKS) -> DataFrame:
+    """df (id, text) with the derived columns, and next_text and next_<derived> from the row that follows in
+    descending order of id; the last is followed by the first. Rows of one id follow each other by the
+    hash of their text; null ids come last.
 
     Ids are cut into blocks at their quantiles. Each block is sorted for itself; a copy of the first
     row of the block that follows stands at its end. Only the blocks' first ids come to the driver.
@@ -131,7 +131,9 @@ def with_next(df: DataFrame, columns: list[str], most_blocks: int = MOST_BLOCKS)
     copies = copies.dropDuplicates(["block"]).withColumn("copy", F.lit(1)).select("block", "copy", "h", *df.columns)
     every = rows.select(block.alias("block"), F.lit(0).alias("copy"), "h", *df.columns).unionByName(copies)
     order = W.partitionBy("block").orderBy("copy", F.desc_nulls_last("id"), F.desc("h"))
-    return every.select("copy", *df.columns, *(F.lead(c).over(order).alias(f"next_{c}") for c in columns)).filter("copy = 0").drop("copy")
+    columns = ["text", *derived]
+    full = every.withColumns(derived)  # once a row, before the shuffle
+    return full.select("copy", "id", *columns, *(F.lead(c).over(order).alias(f"next_{c}") for c in columns)).filter("copy = 0").drop("copy")
 
 
 def edited_fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", most_blocks: int = MOST_BLOCKS) -> DataFrame:
@@ -142,11 +144,10 @@ def edited_fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "
     Null text is empty. One shuffle carries text and fingerprint; no Python runs on executors.
     """
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    signed = rows.withColumn("sig", signature(F.col("text")))
     n = F.length("text")
     cut = F.floor(n / 3).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), n - cut), F.substring("next_text", F.lit(1), cut))
-    both = with_next(signed, ["text", "sig"], most_blocks).select("id", "sig", "next_sig", n.cast("long").alias("n_chars"), edited.alias("edited"))
+    both = with_next(rows, {"sig": signature(F.col("text"))}, most_blocks).select("id", "sig", "next_sig", n.cast("long").alias("n_chars"), edited.alias("edited"))
     both = both.withColumn("edited_sig", signature(F.col("edited")))
     return both.select(
         F.col("id").alias(id_col), "n_chars", F.sha2("edited", 256).alias("edited_sha256"), as_text(F.col("sig")).alias("fingerprint"), as_text(F.col("edited_sig")).alias("edited_fingerprint"),
