@@ -196,7 +196,7 @@ def pack(df: DataFrame, tokenizer: str, end_id: int = 2, capacity: int = 4096, i
     cut = placed.filter(F.col("crc").isNull()).drop("crc")
     texts = df.select(F.col(id_col).cast("long").alias("id0"), F.col(text_col).alias("text"))
     spans = F.collect_list(F.struct("start", "length", "sequence_id", "offset")).alias("spans")
-    wanted = cut.groupBy("id", "doc_tokens", "doc_crc").agg(spans)
+    wanted = settled(cut.groupBy("id", "doc_tokens", "doc_crc").agg(spans), "cut")  # of known size: texts are shuffled only where it is large
 
     def again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, end = encoder(tokenizer), end_id.to_bytes(4, "little")
