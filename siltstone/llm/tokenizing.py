@@ -31,7 +31,7 @@ SPACE, SOLID = r"[^\S\x1c-\x1f]", r"[\S\x1c-\x1f]"
 PIECE = re.compile(f"{SPACE}*{SOLID}+|{SPACE}+")
 WORD = re.compile(f"{SOLID}+")
 #: Entries of each of the two generations of a cache.
-CACHE_ENTRIES = 300_000
+CACHE_ENTRIES = 200_000
 
 _encoders: dict[tuple[str, int], PieceEncoder] = {}
 
