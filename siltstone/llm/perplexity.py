@@ -8,9 +8,10 @@ counts the n-grams of all texts and the continuations of the lower orders.
 
 Each order is kept as hashes in ascending order (the key times an odd number, a bijection on its
 bits) beside the logarithms of the probability and of the back-off weight; n-grams are found by
-binary search. A document is outside when its mean log-probability lies beyond the upper or the lower
-bound of its language's band: the median over all documents that pass the plain rules, and a number
-of robust deviations to either side.
+binary search. A document's log-probability is divided by its number of letters, so that marks strewn among
+words cost what they are worth instead of being averaged away by the likely symbols they add. A document
+is outside when this lies beyond the upper or the lower bound of its language's band: the median over all
+documents that pass the plain rules, and a number of robust deviations to either side.
 """
 
 from __future__ import annotations
@@ -35,7 +36,9 @@ HASHED = 1 << 20
 
 FEWEST_WORDS, MOST_REPEATED = 50, 50
 #: Half the width of a band, in robust standard deviations (interquartile range / 1.349), and at least.
-DEVIATIONS, LEAST_HALF = 8.0, 0.15
+DEVIATIONS, LEAST_HALF = 10.0, 0.15
+#: Perplexities stop at the exponential of this, to stay finite.
+MOST_LOG = 700.0
 
 GRAMS = pa.schema([("gram", pa.int32()), ("n", pa.int64())])
 SCORES = pa.schema([("id", pa.int64()), ("lang", pa.string()), *((k, pa.int64()) for k in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")), ("log_prob", pa.float64())])
@@ -128,6 +131,12 @@ def counted(df: DataFrame, text_col: str) -> DataFrame:
     return rows.mapInArrow(run, "gram int, n long").groupBy("gram").agg(F.sum("n").alias("n"))
 
 
+def is_letter(key: np.ndarray) -> np.ndarray:
+    """Whether the last symbol of each key stands for a letter."""
+    last = key & ((1 << BITS) - 1)
+    return (last < SPACE) | (last >= FIRST_LETTER)
+
+
 def hashed(key: np.ndarray, order: int) -> np.ndarray:
     return ((key.astype(np.uint64) * np.uint64(ODD)) & np.uint64((1 << (BITS * order)) - 1)).astype(np.uint32)
 
@@ -257,8 +266,8 @@ def scores(df: DataFrame, model: Model, id_col: str, text_col: str, lang_col: st
             texts = batch.column("text").to_pylist()
             for a, b in by_bytes(texts, HASHED):
                 key, at = grams(texts[a:b])
-                sums = np.concatenate([[0.0], np.cumsum(sent.value.log_prob(key), dtype=np.float64)])[at]
-                mean = np.diff(sums) / np.maximum(np.diff(at), 1)
+                sums, letters = (np.concatenate([[0.0], np.cumsum(x, dtype=np.float64)])[at] for x in (sent.value.log_prob(key), is_letter(key)))
+                mean = np.diff(sums) / np.maximum(np.diff(letters), 1)
                 yield table(SCORES, id=batch.column("id").slice(a, b - a), lang=batch.column("lang").slice(a, b - a), log_prob=mean, **plain_counts(texts[a:b]))
 
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
@@ -274,7 +283,7 @@ def quality_rules(
 
     base_failed: fewer than `fewest_words` words, or over `most_repeated` percent of them in repeated
     three-word windows. kept: not base_failed and perplexity within the band. Null and empty texts have no
-    words and fail; their perplexity is 1. A null language is a language of its own; a language
+    words and fail; their perplexity is 1. A text without letters is divided by one. A null language is a language of its own; a language
     without a passing document has no band, and none of its documents is kept. Null ids stay, repeated
     rows count each, an empty table gives no rows, other columns are not read. Equal texts have equal
     perplexity. Quartiles are approximate to 1 in 10,000 ranks. Whole texts are read, in steps of
@@ -288,6 +297,6 @@ def quality_rules(
     half = F.greatest(F.lit(deviations) * (F.col("q")[2] - F.col("q")[0]) / 1.349, F.lit(least_half))
     bands = scored.filter("not base_failed").groupBy(F.col("lang").alias("of")).agg(quartiles.alias("q"))
     bands = bands.select("of", F.exp(-F.col("q")[1] - half).alias("lower"), F.exp(-F.col("q")[1] + half).alias("upper"))
-    joined = scored.join(bands, F.col("lang").eqNullSafe(F.col("of")), "left").withColumn("perplexity", F.exp(-F.col("log_prob")))
+    joined = scored.join(bands, F.col("lang").eqNullSafe(F.col("of")), "left").withColumn("perplexity", F.exp(F.least(-F.col("log_prob"), F.lit(MOST_LOG))))
     kept = ~F.col("base_failed") & F.coalesce(F.col("perplexity").between(F.col("lower"), F.col("upper")), F.lit(False))
     return joined.select(F.col("id").alias(id_col), *SCORES.names[2:7], "base_failed", kept.alias("kept"), "perplexity", "lower", "upper")

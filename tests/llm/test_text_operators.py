@@ -171,10 +171,12 @@ def test_bands_reject_what_is_unlike_its_language(make, tiny):
     en, de = (["".join(rng.choice(parts) for _ in range(rng.randint(1, 3))) for _ in range(80)] for parts in (["the", "ing", "ou", "wa", "ter"], ["sch", "ung", "ä", "ge", "über"]))
     docs = [(i, prose(rng, 200, en), "en") for i in range(60)] + [(100 + i, prose(rng, 200, de), "de") for i in range(60)]
     docs += [(200, "".join(rng.choice("xqzjkw#% ") for _ in range(900)), "en"), (201, prose(rng, 10, en), "en"), (202, "go on " * 100, "en"), (203, None, "en"), (204, "", None)]
+    docs += [(210 + i, prose(rng, 200, en).replace(" ", ("### ", "&&& ")[i % 2]), "en") for i in range(6)] + [(220, " ".join(str(k * k) for k in range(90)), "en")]
     got = {r.doc_id: r for r in perplexity.quality_rules(make(*docs)).collect()}
-    assert all(got[i].kept for i in [*range(60), *range(100, 160)]) and len(got) == 125
+    assert all(got[i].kept for i in [*range(60), *range(100, 160)]) and len(got) == 132
     assert not got[200].kept and not got[200].base_failed and got[200].perplexity > got[200].upper
     assert got[201].base_failed and got[202].base_failed and got[203].base_failed and got[203].n_words == 0 and not got[204].kept and got[204].perplexity == 1
+    assert not any(got[i].kept or got[i].base_failed for i in [*range(210, 216), 220]) and np.isfinite(got[220].perplexity)
     assert got[0].upper != got[100].upper
     rules = perplexity.quality_rules(tiny).collect()
     assert len(rules) == 13 and {r.kept for r in rules} <= {True, False}
