@@ -15,8 +15,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from siltstone.llm.shared import by_bytes, mixed, settled, spans_hash, table
 
@@ -31,7 +32,6 @@ DIM_NAMES = [f"d{i}" for i in range(DIMS)]
 
 TABLE = pa.schema([("bucket", pa.int32()), ("n", pa.int64()), *((k, pa.int64()) for k in DIM_NAMES)])
 FEATURES = pa.schema([("label", pa.int32()), ("fold", pa.int64()), ("x", pa.list_(pa.float32()))])
-OUT = pa.schema([("id", pa.int64()), ("score", pa.float64())])
 
 REPEATED = 5
 _kind = np.full(256, 3, np.int8)
@@ -212,6 +212,21 @@ def train(df: DataFrame, labels: DataFrame, label_col: str = "quality", id_col:
     return v, weight, Network().fit(x[at].astype(np.float64), y[at], fold[at] == 0)
 
 
+def score_of(spark: SparkSession, text: Column, model: tuple[np.ndarray, np.ndarray, Network]) -> Column:
+    """The score of a text as a column. It counts as not deterministic only so that a filter on it stays
+    above it and no text is scored twice."""
+    sent = spark.sparkContext.broadcast(model)
+
+    @F.arrow_udf(T.DoubleType())
+    def said(text: pa.Array) -> pa.Array:
+        v, weight, network = sent.value
+        texts = text.to_pylist()
+        parts = [network(pooled(texts[a:b], v, weight).astype(np.float64)) for a, b in by_bytes(texts, HASHED)]
+        return pa.array(np.concatenate([np.empty(0), *parts]), pa.float64())
+
+    return said.asNondeterministic()(text)
+
+
 def score(df: DataFrame, model: tuple[np.ndarray, np.ndarray, Network], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row for each row of df: id_col, score from 0 to 1 (label 1 likelier), predicted (1 from 0.5 on).
 
@@ -219,18 +234,13 @@ def score(df: DataFrame, model: tuple[np.ndarray, np.ndarray, Network], id_col:
     scored like any other; null ids stay, repeated rows count each, equal texts score alike, an
     empty table gives no rows, other columns are not read. Whole texts count. No shuffle.
     """
-    sent = df.sparkSession.sparkContext.broadcast(model)
+    scored = df.select(F.col(id_col).cast("long").alias(id_col), score_of(df.sparkSession, F.col(text_col), model).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v, weight, network = sent.value
-        for batch in batches:
-            texts = batch.column("text").to_pylist()
-            for a, b in by_bytes(texts, HASHED):
-                yield table(OUT, id=batch.column("id").slice(a, b - a), score=network(pooled(texts[a:b], v, weight).astype(np.float64)))
 
-    rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    scored = rows.mapInArrow(run, "id long, score double")
-    return scored.select(F.col("id").alias(id_col), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+def good(df: DataFrame, model: tuple[np.ndarray, np.ndarray, Network], text_col: str = "text") -> DataFrame:
+    """The rows of df, with all their columns, that score() predicts to be of label 1. No shuffle, no join."""
+    return df.withColumn("siltstone_score", score_of(df.sparkSession, F.col(text_col), model)).filter("siltstone_score >= 0.5").drop("siltstone_score")
 
 
 def held_out_quality(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> DataFrame:

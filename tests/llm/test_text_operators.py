@@ -203,6 +203,12 @@ def test_classifier(make, tiny):
     one = classifier.held_out_quality(docs, labels.filter("quality = 1")).collect()
     assert {r.score for r in one} == {1.0}
     assert classifier.held_out_quality(docs.filter("false"), labels).count() == 0
+    model = classifier.train(docs, labels)
+    every, kept = docs.unionByName(tiny), classifier.good(docs.unionByName(tiny), model)
+    want = Counter(r.doc_id for r in classifier.score(every, model).filter("predicted = 1").collect())
+    assert Counter(r.doc_id for r in kept.collect()) == want and 0 < sum(want.values()) < every.count() and kept.columns == every.columns
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1 and "Exchange" not in plan
 
 
 def test_languages(make, tiny):
