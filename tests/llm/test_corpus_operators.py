@@ -86,6 +86,34 @@ def test_tile_in_many_blocks(monkeypatch):
     assert reachable(nodes, linked) == reachable(nodes, brute)
 
 
+def test_near_copies_of_the_pipeline(make):
+    """The pipeline's stage against all pairs of sets of five-word shingles."""
+    import corpus_pipeline
+
+    rng = random.Random(11)
+    base = [[f"w{rng.randint(0, 900)}" for _ in range(n)] for n in (3, 5, 9, 40, 70, 120, 300, 300)]
+    line = "one line that stands in very many of the texts".split()
+    docs = [(0, " ".join(base[5]).upper()), (900, None), (901, ""), (902, "a b"), (903, "A  b"), (None, " ".join(base[4])), (None, "never seen elsewhere"), (None, "never seen elsewhere")]
+    for i in range(150):
+        words = list(rng.choice(base))
+        for _ in range(rng.randint(0, 1 + len(words) // 40)):
+            words[rng.randrange(len(words))] = f"x{rng.randint(0, 9)}"
+        docs.append((1 + i, " ".join(words + line * (i % 3))))
+    docs.append((7, "an id twice, with another text"))
+    lists = [(t or "").lower().split() for _, t in docs]
+    sets = [{tuple(w[p : p + 5]) for p in range(max(len(w) - 4, 1))} if w else set() for w in lists]
+    alike = [(i, j) for i in range(len(docs)) for j in range(i) if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j])]
+    root = reachable(range(len(docs)), alike)
+    want = {}
+    for i, (k, _) in enumerate(docs):
+        want.setdefault(root[i], []).append((k is None, k))
+    got = corpus_pipeline.near_dedup(None, make(*docs), "").collect()
+    assert sorted((r.doc_id is None, r.doc_id or 0) for r in got) == sorted((n, k or 0) for n, k in (min(v, key=lambda x: (x[0], x[1] or 0)) for v in want.values()))
+    assert len(alike) > 300 and 8 < len(want) < 140
+    rejected = {t for k, t in docs} - {r.text for r in got}
+    assert "an id twice, with another text" not in rejected and sum(r.doc_id is None for r in got) == 1
+
+
 def brute_removed(docs, window):
     words = [(i, (t or "").encode().split()) for i, t in docs]
     first = {}
