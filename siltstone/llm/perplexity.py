@@ -10,8 +10,11 @@ Each order is kept as hashes in ascending order (the key times an odd number, a
 bits) beside the logarithms of the probability and of the back-off weight; n-grams are found by
 binary search. A document's log-probability is divided by its number of letters, so that marks strewn among
 words cost what they are worth instead of being averaged away by the likely symbols they add. A document
-is outside when this lies beyond the upper or the lower bound of its language's band: the median over all
-documents that pass the plain rules, and a number of robust deviations to either side.
+is outside when this lies beyond the upper or the lower bound of its language's band. The band is drawn over
+the distinct texts that pass the plain rules, so that copies do not count: the shortest interval that holds
+half of them is their core, and what is within a few deviations of the core gives a median and a robust
+deviation, of which the band has a number to either side. Junk moves neither while it is under half of a
+language's distinct texts.
 """
 
 from __future__ import annotations
@@ -37,12 +40,14 @@ HASHED = 1 << 20
 FEWEST_WORDS, MOST_REPEATED = 50, 50
 #: Half the width of a band, in robust standard deviations (interquartile range / 1.349), and at least.
 DEVIATIONS, LEAST_HALF = 10.0, 0.15
+#: The core is sought among so many quantiles and their halves; what is so many of its deviations away is not of it.
+QUANTILES, NEAR_CORE = 200, 3.0
 #: Perplexities stop at the exponential of this, to stay finite.
 MOST_LOG = 700.0
 
 GRAMS = pa.schema([("gram", pa.int32()), ("n", pa.int64())])
-SCORES = pa.schema([("id", pa.int64()), ("lang", pa.string()), *((k, pa.int64()) for k in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")), ("log_prob", pa.float64())])
-SCORES_SQL = "id long, lang string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, log_prob double"
+SCORES = pa.schema([("id", pa.int64()), ("lang", pa.string()), *((k, pa.int64()) for k in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")), ("log_prob", pa.float64()), ("text_key", pa.int64())])
+SCORES_SQL = "id long, lang string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, log_prob double, text_key long"
 
 _fold: tuple[np.ndarray, np.ndarray] | None = None
 
@@ -268,12 +273,25 @@ def scores(df: DataFrame, model: Model, id_col: str, text_col: str, lang_col: st
                 key, at = grams(texts[a:b])
                 sums, letters = (np.concatenate([[0.0], np.cumsum(x, dtype=np.float64)])[at] for x in (sent.value.log_prob(key), is_letter(key)))
                 mean = np.diff(sums) / np.maximum(np.diff(letters), 1)
-                yield table(SCORES, id=batch.column("id").slice(a, b - a), lang=batch.column("lang").slice(a, b - a), log_prob=mean, **plain_counts(texts[a:b]))
+                yield table(SCORES, id=batch.column("id").slice(a, b - a), lang=batch.column("lang").slice(a, b - a), log_prob=mean, text_key=batch.column("text_key").slice(a, b - a), **plain_counts(texts[a:b]))
 
-    rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
+    rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("text_key"))
     return rows.mapInArrow(run, SCORES_SQL)
 
 
+def bands(passing: DataFrame, deviations: float, least_half: float) -> DataFrame:
+    """(of, middle, half): the band of each language in log-probabilities, from one row for each distinct text.
+    Aggregates by language; nothing is gathered but quantiles."""
+    texts = settled(passing.groupBy(F.col("lang").alias("of"), "text_key").agg(F.min("log_prob").alias("x")), "distinct")
+    q = F.percentile_approx("x", [i / QUANTILES for i in range(QUANTILES + 1)], 10_000)
+    halves = F.transform(F.sequence(F.lit(0), F.lit(QUANTILES // 2)), lambda i: F.struct((F.get("q", i + QUANTILES // 2) - F.get("q", i)).alias("width"), F.get("q", i).alias("low")))
+    core = texts.groupBy(F.col("of").alias("core_of")).agg(q.alias("q")).select("core_of", F.array_min(halves).alias("core"))
+    reach = F.greatest(NEAR_CORE * F.col("core.width") / 1.349, F.lit(least_half))
+    near = texts.join(F.broadcast(core), F.col("of").eqNullSafe(F.col("core_of"))).filter(F.abs(F.col("x") - F.col("core.low") - F.col("core.width") / 2) <= reach)
+    quartiles = near.groupBy("of").agg(F.percentile_approx("x", [0.25, 0.5, 0.75], 10_000).alias("q"))
+    return quartiles.select("of", F.col("q")[1].alias("middle"), F.greatest(F.lit(deviations) * (F.col("q")[2] - F.col("q")[0]) / 1.349, F.lit(least_half)).alias("half"))
+
+
 def quality_rules(
     df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", deviations: float = DEVIATIONS, least_half: float = LEAST_HALF,
     fewest_words: int = FEWEST_WORDS, most_repeated: int = MOST_REPEATED,
@@ -286,17 +304,16 @@ def quality_rules(
     words and fail; their perplexity is 1. A text without letters is divided by one. A null language is a language of its own; a language
     without a passing document has no band, and none of its documents is kept. Null ids stay, repeated
     rows count each, an empty table gives no rows, other columns are not read. Equal texts have equal
-    perplexity. Quartiles are approximate to 1 in 10,000 ranks. Whole texts are read, in steps of
-    about HASHED bytes; nothing but sums and one row a document is shuffled or kept.
+    perplexity, and count once for the band. Quantiles are approximate to 1 in 10,000 ranks, the core's ends to 1 in 200. Whole texts are read, in steps of
+    about HASHED bytes; nothing but sums and one row a document is shuffled or kept. Junk that is half of a language's distinct
+    passing texts or more cannot be told from the rest by its share.
     """
     model = train(df, text_col)
     scored = settled(scores(df, model, id_col, text_col, lang_col), "scores")
     failed = (F.col("n_words") < fewest_words) | (100 * F.col("n_repeat_words") > most_repeated * F.col("n_words"))
     scored = scored.withColumn("base_failed", failed)
-    quartiles = F.percentile_approx("log_prob", [0.25, 0.5, 0.75], 10_000)
-    half = F.greatest(F.lit(deviations) * (F.col("q")[2] - F.col("q")[0]) / 1.349, F.lit(least_half))
-    bands = scored.filter("not base_failed").groupBy(F.col("lang").alias("of")).agg(quartiles.alias("q"))
-    bands = bands.select("of", F.exp(-F.col("q")[1] - half).alias("lower"), F.exp(-F.col("q")[1] + half).alias("upper"))
-    joined = scored.join(bands, F.col("lang").eqNullSafe(F.col("of")), "left").withColumn("perplexity", F.exp(F.least(-F.col("log_prob"), F.lit(MOST_LOG))))
+    drawn = bands(scored.filter("not base_failed"), deviations, least_half)
+    drawn = drawn.select("of", F.exp(-F.col("middle") - F.col("half")).alias("lower"), F.exp(-F.col("middle") + F.col("half")).alias("upper"))
+    joined = scored.join(drawn, F.col("lang").eqNullSafe(F.col("of")), "left").withColumn("perplexity", F.exp(F.least(-F.col("log_prob"), F.lit(MOST_LOG))))
     kept = ~F.col("base_failed") & F.coalesce(F.col("perplexity").between(F.col("lower"), F.col("upper")), F.lit(False))
     return joined.select(F.col("id").alias(id_col), *SCORES.names[2:7], "base_failed", kept.alias("kept"), "perplexity", "lower", "upper")

@@ -183,6 +183,40 @@ def test_bands_reject_what_is_unlike_its_language(make, tiny):
     assert perplexity.quality_rules(tiny.filter("false")).count() == 0
 
 
+def banded(spark, monkeypatch, values):
+    """quality_rules() of rows (log-probability, text) whose scores are given: what is kept, in order."""
+    names = perplexity.SCORES.names
+    rows = [(i, "en", 100, 400, 0, 0, 0, float(x), k)[: len(names)] for i, (x, k) in enumerate(values)]
+    scored = spark.createDataFrame(rows, perplexity.SCORES_SQL)
+    monkeypatch.setattr(perplexity, "train", lambda *a: None)
+    monkeypatch.setattr(perplexity, "scores", lambda *a: scored)
+    got = {r.doc_id: r.kept for r in perplexity.quality_rules(scored).collect()}
+    return [got[i] for i in range(len(values))]
+
+
+@pytest.mark.parametrize("share", [0.0, 0.1, 0.24, 0.26, 0.33, 0.4, 0.45])
+def test_junk_does_not_widen_the_band(spark, monkeypatch, share):
+    rng = random.Random(5)
+    junk = int(1000 * share)
+    values = [(rng.gauss(-4.0 if i < junk else -3.0, 0.02), i) for i in range(1000)]
+    kept = banded(spark, monkeypatch, values)
+    assert not any(kept[:junk]) and all(kept[junk:])
+
+
+def test_copies_do_not_narrow_the_band(spark, monkeypatch):
+    rng = random.Random(6)
+    values = [(-3.0, 0)] * 800 + [(rng.gauss(-3.0, 0.1), i) for i in range(1, 201)]
+    assert all(banded(spark, monkeypatch, values))
+
+
+def test_a_hot_junk_source_is_rejected(make):
+    rng = random.Random(4)
+    words = ["".join(rng.choice(["the", "ing", "ou", "wa", "ter"]) for _ in range(rng.randint(1, 3))) for _ in range(80)]
+    docs = [(i, prose(rng, 200, words)) for i in range(60)] + [(100 + i, prose(rng, 200, words).replace(" ", ("### ", "&&& ")[i % 2])) for i in range(40)]
+    got = {r.doc_id: r.kept for r in perplexity.quality_rules(make(*docs)).collect()}
+    assert all(got[i] for i in range(60)) and not any(got[100 + i] for i in range(40))
+
+
 def test_classifier(make, tiny):
     rng = random.Random(6)
     good = [prose(rng, 60, ["river", "stone", "light", "cloud", "walks", "softly"]) for _ in range(300)]
