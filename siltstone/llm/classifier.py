@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from siltstone.llm.shared import by_bytes, mixed, settled, spans_hash, table
+from siltstone.llm.shared import by_bytes, mixed, settled, table, trimmed, word_hashes
 
 BUCKETS, SHAPES, DIMS = 1 << 13, 64, 64
 REACH = 2
@@ -54,7 +54,7 @@ def tokens(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     starts, ends = places[:-1], places[1:]
     solid = kind[starts] > 0 if len(raw) else np.zeros(0, bool)
     starts, ends = starts[solid], ends[solid]
-    words = spans_hash(_low[raw], starts, ends)
+    words = word_hashes(_low[raw], starts, ends)
     upper = np.concatenate([[0], np.cumsum((raw >= 0x41) & (raw < 0x5B))])
     size, caps, k, byte = ends - starts, upper[ends] - upper[starts], kind[starts], raw[starts].astype(np.int64)
     shape = np.select(

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
+import sys
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 
 #: Texts handed to one step of Python work together hold about this many bytes.
@@ -18,14 +21,16 @@ _written: list[tuple[SparkSession, str]] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir. Only where the session
-    has none (single-machine tests) is a local one made and set."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Only where a local session has none
+    (single-machine tests) is one made and set; on a cluster that is an error."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
         jsc = spark.sparkContext._jsc.sc()
         set_before = jsc.getCheckpointDir()
         if set_before.isDefined():
             return set_before.get()
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         found = tempfile.mkdtemp(prefix="siltstone-")
         spark.sparkContext.setCheckpointDir(found)
         return spark.sparkContext._jsc.sc().getCheckpointDir().get()
@@ -50,8 +55,8 @@ def _clean() -> None:
     for spark, path in _written:
         try:
             drop_path(spark, path)
-        except Exception:  # the session has ended: its shared folder is the cluster's to clear
-            return
+        except Exception:  # gone already, or the session has ended: the rest is the cluster's to clear
+            continue
 
 
 def settled(df: DataFrame, name: str) -> DataFrame:
@@ -62,11 +67,15 @@ def settled(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def utf8_size(text: str | None) -> int:
+    return 0 if text is None else len(text) if text.isascii() else len(text.encode())
+
+
 def by_bytes(texts: list, most: int = BATCH_BYTES) -> Iterator[tuple[int, int]]:
-    """Slices [a, b) of texts with about `most` characters each; a longer text is alone."""
+    """Slices [a, b) of texts with about `most` bytes of UTF-8 each; a longer text is alone."""
     a = total = 0
     for i, t in enumerate(texts):
-        n = len(t) if t is not None else 0
+        n = utf8_size(t)
         if i > a and total + n > most:
             yield a, i
             a, total = i, 0
@@ -75,6 +84,36 @@ def by_bytes(texts: list, most: int = BATCH_BYTES) -> Iterator[tuple[int, int]]:
         yield a, len(texts)
 
 
+_kept: dict[tuple, object] = {}
+
+
+def kept(key: tuple, make: Callable):
+    """What a Python worker keeps from task to task, one object at a time: another key drops what was there, so stages
+    that share a worker do not add up."""
+    if key not in _kept:
+        _kept.clear()
+        trimmed()
+        _kept[key] = make()
+    return _kept[key]
+
+
+def trimmed() -> None:
+    """Gives memory that Python, numpy and Arrow no longer use back to the system."""
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim:
+            trim(0)
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """name, with as many underscores after it as make it a new column of df."""
+    have = {c.lower() for c in df.columns}
+    while name.lower() in have:
+        name += "_"
+    return name
+
+
 def table(schema: pa.Schema, **columns) -> pa.RecordBatch:
     """A record batch of the schema's columns, cast to its types."""
     return pa.RecordBatch.from_arrays(
@@ -82,28 +121,13 @@ def table(schema: pa.Schema, **columns) -> pa.RecordBatch:
     )
 
 
-#: An odd multiplier; hashes are sums of symbol * BASE**place, modulo 2**64.
-BASE = 0x9E3779B97F4A7C15
-_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+#: Odd multiplier of the 64-bit mixing steps.
+ODD = np.uint64(0x9E3779B97F4A7C15)
+#: Words of more bytes are hashed one by one.
+LONG_WORD = 64
 _is_space = np.zeros(256, bool)
 _is_space[[0x20, *range(0x09, 0x0E)]] = True
-
-
-def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """base**i and base**-i modulo 2**64 for i up to n at least."""
-    have = _powers.get(base)
-    if have is None or len(have[0]) <= n:
-        size = max(1 << 16, 1 << n.bit_length())
-        both = []
-        for b in (base, pow(base, -1, 1 << 64)):
-            p = np.empty(size, np.uint64)
-            p[0], k = 1, 1
-            while k < size:  # doubling
-                p[k : 2 * k] = p[:k] * np.uint64(pow(b, k, 1 << 64))
-                k *= 2
-            both.append(p)
-        have = _powers[base] = tuple(both)
-    return have
+_low_bytes = np.array([(1 << (8 * k)) - 1 for k in range(9)], np.uint64)
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
@@ -113,12 +137,39 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def spans_hash(symbols: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int = BASE) -> np.ndarray:
-    """A 64-bit hash of symbols[a:b] for each pair of places; equal sequences have equal hashes."""
-    up, down = powers(base, len(symbols))
-    total = np.zeros(len(symbols) + 1, np.uint64)
-    np.cumsum(symbols.astype(np.uint64, copy=False) * up[: len(symbols)], out=total[1:])
-    return mixed((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+def word_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the byte strings raw[a:b]: eight bytes a step, each step mixed before the next; long ones by
+    XXH64. Equal strings have equal hashes; where different ones must never be taken for equal, callers compare bytes."""
+    size = ends - starts
+    padded = np.zeros(len(raw) + 8, np.uint8)
+    padded[: len(raw)] = raw
+    eight = np.ndarray((len(raw) + 1,), "<u8", padded, strides=(1,))
+    out = mixed(eight[starts] & _low_bytes[np.minimum(size, 8)] ^ mixed(size.astype(np.uint64) * ODD))
+    for done in range(8, LONG_WORD, 8):
+        rest = np.flatnonzero(size > done)
+        if not len(rest):
+            return out
+        out[rest] = mixed(out[rest] * ODD ^ eight[starts[rest] + done] & _low_bytes[np.minimum(size[rest] - done, 8)])
+    for i in np.flatnonzero(size > LONG_WORD).tolist():
+        out[i] = xxhash.xxh64_intdigest(raw[starts[i] : ends[i]].tobytes())
+    return out
+
+
+def run_hashes(words: np.ndarray, width: int) -> np.ndarray:
+    """Hashes of all runs of `width` words from the words' hashes, by doubling: runs of 2, 4, 8 words and so on, each
+    mixed from its halves."""
+    of, size, out, have = words, 1, None, 0
+    while True:
+        if width & size:  # the next `size` words of the run
+            if out is None:
+                out, have = of, size
+            else:
+                n = len(words) - have - size + 1
+                out, have = mixed(out[: max(n, 0)] * ODD + of[have : have + max(n, 0)]), have + size
+        if 2 * size > width:
+            return out if out is not None else words
+        n = max(len(of) - size, 0)
+        of, size = mixed(of[:n] * ODD + of[size : size + n] + np.uint64(size)), 2 * size
 
 
 def word_places(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -132,8 +183,12 @@ def word_places(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def text_words(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Of texts (null: no word) end to end: the bytes; each word's start and end; the words' hashes;
     the number of words before each text, and all."""
-    data = [t.encode() if t else b"" for t in texts]
+    return line_words([t.encode() if t else b"" for t in texts])
+
+
+def line_words(data: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """text_words() of texts in UTF-8."""
     raw = np.frombuffer(b"\n".join(data), np.uint8)
     starts, ends = word_places(raw)
     first = np.cumsum([0, *(len(d) + 1 for d in data)])
-    return raw, starts, ends, spans_hash(raw, starts, ends), np.searchsorted(starts, first)
+    return raw, starts, ends, word_hashes(raw, starts, ends), np.searchsorted(starts, first)
