@@ -39,6 +39,8 @@ BLOOM_PER_ANCHOR, MOST_BLOOM = 16, 1 << 29
 HASHED = 1 << 20
 #: Segments that a task holds before it settles copies among them.
 HELD = 1 << 18
+#: Parts of an anchor's rows where they are joined by it.
+SALTS = 32
 
 ANCHORS = pa.schema([("anchor", pa.int64()), ("id", pa.int64())])
 SEGMENTS = pa.schema([*((k, pa.int64()) for k in ("key", "key2", "anchor", "id", "mark", "place", "n", "ref", "ref_place"))])
@@ -221,8 +223,9 @@ def duplicate_places(df: DataFrame, window: int = WINDOW, most_bloom: int = MOST
     copies = joined.filter("id > ref").select(hit)
     owners = joined.filter("ref is null or id = ref")
     # anchors of two different segments
-    keys = owners.groupBy(F.col("anchor").alias("two")).agg(F.min("key").alias("a"), F.max("key").alias("b"), F.min("key2").alias("c"), F.max("key2").alias("d")).filter("a <> b or c <> d").select("two")
-    wanted = owners.join(keys, F.col("anchor") == F.col("two"), "left_semi").select("id", "mark", "place", "n")
+    keys = owners.groupBy(F.col("anchor").alias("two")).agg(F.min("key").alias("a"), F.max("key").alias("b"), F.min("key2").alias("c"), F.max("key2").alias("d")).filter("a <> b or c <> d").select("two", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("of"))
+    dealt = owners.withColumn("salt", F.pmod(F.xxhash64("id", "place"), F.lit(SALTS)))  # so that a hot anchor's rows meet in SALTS tasks
+    wanted = dealt.join(keys, (F.col("anchor") == F.col("two")) & (F.col("salt") == F.col("of")), "left_semi").select("id", "mark", "place", "n")
     wanted = settled(wanted.groupBy("id", "mark").agg(F.collect_set(F.struct("place", "n")).alias("rows")), "wanted")  # at most a text's own segments
 
     def singly(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
