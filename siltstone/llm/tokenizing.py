@@ -20,6 +20,8 @@ import json
 import re
 from array import array
 
+from siltstone.llm.shared import kept
+
 #: Characters beyond these, or what may begin an added token, make a text "odd": it is cut at white space only.
 ODD = re.compile("[^\t-\r\x20-\x7e¡-©«¬®-±´¶-¸»¿-ÿ]|<\\|")
 #: The pre-tokenizers' patterns over the characters that are left.
@@ -30,21 +32,42 @@ RARE_SPACE = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028
 SPACE, SOLID = r"[^\S\x1c-\x1f]", r"[\S\x1c-\x1f]"
 PIECE = re.compile(f"{SPACE}*{SOLID}+|{SPACE}+")
 WORD = re.compile(f"{SOLID}+")
-#: Entries of each of the two generations of a cache.
-CACHE_ENTRIES = 200_000
-
-_encoders: dict[tuple[str, int], PieceEncoder] = {}
+#: White space that makes a byte-level text be cut by PIECE rather than at single spaces.
+PLAIN = re.compile(f"  | \n|\n | $|{RARE_SPACE.pattern}")
+#: Kinds of files.
+BYTE, WORDS, WHOLE, SENTENCES = "byte", "word", "whole", "sentencepiece"
+#: Entries of each of the two generations of a cache, and the longest key that is kept: so bytes are bounded too.
+CACHE_ENTRIES, LONGEST_KEPT = 200_000, 64
 
 
 def encoder(path: str, entries: int = CACHE_ENTRIES) -> PieceEncoder:
-    """One encoder a Python worker; its cache lives as long as the worker does."""
-    if (path, entries) not in _encoders:
-        _encoders[path, entries] = PieceEncoder(path, entries)
-    return _encoders[path, entries]
+    """One encoder a Python worker; its cache lives until another operator's takes its place."""
+    return kept(("pieces", path, entries), lambda: PieceEncoder(path, entries))
+
+
+def loaded(path: str):
+    """The library's model of a file, and the file's kind."""
+    if path.endswith(".model"):
+        import sentencepiece
+
+        return sentencepiece.SentencePieceProcessor(model_file=path), SENTENCES
+    from tokenizers import Tokenizer
+
+    model = Tokenizer.from_file(path)
+    model.no_truncation()
+    model.no_padding()
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    pre, norm = spec.get("pre_tokenizer") or {}, spec.get("normalizer")
+    if any(re.search(r"\s", x["content"]) or not x["content"].startswith("<|") or x["lstrip"] or x["rstrip"] or x["single_word"] for x in spec.get("added_tokens", [])):
+        return model, WHOLE
+    if pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space") and norm is None:
+        return model, BYTE
+    return model, WORDS if spec["model"].get("end_of_word_suffix") and pre.get("type") == "Sequence" else WHOLE
 
 
 class Memo(dict):
-    """make(key), remembered: at most two generations of `entries` keys; one used again moves to the
+    """make(key), remembered: at most two generations of `entries` keys of at most LONGEST_KEPT characters; one used again moves to the
     younger. rotate() between batches keeps it so."""
 
     def __init__(self, make, entries: int):
@@ -54,7 +77,8 @@ class Memo(dict):
         value = self.old.get(key)
         if value is None:
             value = self.make(key)
-        self[key] = value
+        if len(key) <= LONGEST_KEPT:
+            self[key] = value
         return value
 
     def rotate(self) -> None:
@@ -68,27 +92,9 @@ class PieceEncoder:
     with add_special_tokens=False, no truncation and no padding."""
 
     def __init__(self, path: str, entries: int = CACHE_ENTRIES):
-        if path.endswith(".model"):
-            import sentencepiece
-
-            self.model, self.kind = sentencepiece.SentencePieceProcessor(model_file=path), "sentencepiece"
+        self.model, self.kind = loaded(path)
+        if self.kind == SENTENCES:
             return
-        from tokenizers import Tokenizer
-
-        self.model = Tokenizer.from_file(path)
-        self.model.no_truncation()
-        self.model.no_padding()
-        with open(path, encoding="utf-8") as f:
-            spec = json.load(f)
-        pre, norm = spec.get("pre_tokenizer") or {}, spec.get("normalizer")
-        if any(re.search(r"\s", x["content"]) or not x["content"].startswith("<|") or x["lstrip"] or x["rstrip"] or x["single_word"] for x in spec.get("added_tokens", [])):
-            self.kind = "whole"
-        elif pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space") and norm is None:
-            self.kind = "byte"
-        elif spec["model"].get("end_of_word_suffix") and pre.get("type") == "Sequence":
-            self.kind = "word"
-        else:
-            self.kind = "whole"
         self.letters = {i: "".join(byte_letters()[b] for b in chr(i).encode()) for i in range(0x100)}
         bpe = self.model.model
         match = (lambda x: array("I", [t.id for t in bpe.tokenize(x.translate(self.letters))]).tobytes()) if self.kind in ("byte", "word") else self._whole
@@ -103,7 +109,7 @@ class PieceEncoder:
 
     def _one(self, text: str) -> bytes:
         if self.kind == "byte":
-            if "  " in text or " \n" in text or "\n " in text or text[-1:] == " " or RARE_SPACE.search(text):
+            if PLAIN.search(text):
                 return b"".join(map(self.first.__getitem__, PIECE.findall(text)))
             parts = text.split(" ")
             parts[0] = self.first[parts[0]]
