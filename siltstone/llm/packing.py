@@ -24,11 +24,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from siltstone.llm.shared import by_bytes, settled, table
+from siltstone.llm.shared import by_bytes, settled, table, trimmed
 from siltstone.llm.tokenizing import encoder
 
-#: A length's pieces are ranked in this many parts, so that no task holds all pieces of one length.
-RANK_PARTS = 64
+#: A length's pieces are ranked in parts of about this many rows at most, and in RANK_PARTS parts at least.
+PART_ROWS, RANK_PARTS = 500_000, 64
 
 NATURAL = pa.schema([("id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("crc", pa.int64()), ("doc_tokens", pa.int64()), ("doc_crc", pa.int64())])
 PLACED = pa.schema([*NATURAL, ("sequence_id", pa.int64()), ("offset", pa.int64())])
@@ -136,6 +136,7 @@ def natural_pieces(df: DataFrame, tokenizer: str, end_id: int, capacity: int, id
                         part = ids if n <= capacity else ids[4 * start : 4 * (start + capacity)]
                         rows.append((name, start, len(part) // 4, whole if n <= capacity else zlib.crc32(part), n, whole))
                 yield table(NATURAL, **dict(zip(NATURAL.names, map(list, zip(*rows, strict=True)), strict=True)))
+        trimmed()
 
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     return rows.mapInArrow(run, NATURAL_SQL)
@@ -184,9 +185,10 @@ def pack(df: DataFrame, tokenizer: str, end_id: int = 2, capacity: int = 4096, i
     if not 0 < capacity <= 65_536:
         raise ValueError("capacity must be from 1 to 65536")
     pieces = settled(natural_pieces(df, tokenizer, end_id, capacity, id_col, text_col), "pieces")
-    pieces = pieces.withColumn("part", F.pmod(F.xxhash64("id", "start", "doc_crc"), F.lit(RANK_PARTS)))
-    lengths = pieces.groupBy("length", "part").agg(F.count("*").alias("n"))
     counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}  # at most `capacity` rows
+    parts = max(RANK_PARTS, -(-sum(counts.values()) // PART_ROWS))
+    pieces = pieces.withColumn("part", F.pmod(F.xxhash64("id", "start", "doc_crc"), F.lit(parts)))
+    lengths = pieces.groupBy("length", "part").agg(F.count("*").alias("n"))
     lay = layout(plan(counts, capacity), capacity)
     before = lengths.select("length", "part", (F.sum("n").over(W.partitionBy("length").orderBy("part")) - F.col("n")).alias("before"))
     within = F.row_number().over(W.partitionBy("length", "part").orderBy("id", "start", "crc"))
