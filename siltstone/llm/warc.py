@@ -6,8 +6,9 @@ declares. The version block names the fields of the header lines (five in versio
 and digests made from what the ARC record holds. Payloads found more than once keep one response;
 the others become revisits of it.
 
-Spark's text writer puts down the records' bytes, two line ends after each, so the files are plain WARC;
-each begins with a warcinfo record.
+Spark's text writer puts down the records' bytes, two line ends after each, so the files are plain WARC.
+Files are cut by bytes: pages are written by classes of their size, each with as many records a file as hold FILE_BYTES at most,
+and a warcinfo record is put where each file begins.
 """
 
 from __future__ import annotations
@@ -23,14 +24,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm.shared import by_bytes, fresh_path, settled, table
+from siltstone.llm.shared import by_bytes, fresh_path, settled, table, trimmed
 
 #: Fixed values of the formats.
 VERSION_FIELDS = {1: "URL IP-address Archive-date Content-type Archive-length", 2: "URL IP-address Archive-date Content-type Result-code Checksum Location Offset Filename Archive-length"}
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 END = b"\r\n\r\n"
-#: Records of one file at most; a file is read by one task.
-RECORDS_A_FILE = 5_000
+#: Bytes of payload in a file at most, unless a single record has more; a file is read by one task.
+FILE_BYTES = 64 << 20
+#: Payloads of at most so many bytes are of the smallest class; each class that follows holds four times as large ones.
+SMALL = 64 << 10
 FIRST_DATE = datetime(2020, 1, 1, tzinfo=UTC)
 NAMESPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")  # of URLs
 
@@ -66,32 +69,77 @@ def write_arc(records: list[ArcRecord], version: int, name: str = "pages.arc") -
     return b"".join([*out, b"\n"])
 
 
-def read_arc(data: bytes) -> Iterator[ArcRecord]:
-    """The records of an ARC file, the version block aside. A header line that lacks fields or a
-    length beyond the file raises ValueError."""
+@dataclass
+class BadRecord:
+    """Where in a file no ARC record could be read, and why."""
+
+    offset: int
+    problem: str
+
+
+def read_arc(data: bytes, lenient: bool = False) -> Iterator[ArcRecord | BadRecord]:
+    """The records of an ARC file, the version block aside. A version block or header line that is not one, or a length beyond the
+    file, raises ValueError; lenient, it gives a BadRecord, and reading goes on at the next header line."""
     fields, at = None, 0
     while at < len(data):
         if data[at : at + 1] in (b"\n", b"\r"):
             at += 1
             continue
-        end = data.index(b"\n", at)
-        line = data[at:end].decode("utf-8", "replace").rstrip("\r")
-        parts = line.rsplit(" ", len(fields) - 1) if fields else line.split(" ")
-        if fields and len(parts) != len(fields):
-            raise ValueError(f"ARC header line of {len(parts)} fields: {line[:200]}")
-        size = int(parts[-1])
-        body, at = data[end + 1 : end + 1 + size], end + 1 + size
-        if len(body) != size:
-            raise ValueError(f"ARC record cut short: {line[:200]}")
+        try:
+            found, end = _arc_record(data, at, fields)
+        except (ValueError, KeyError, IndexError) as e:
+            if not lenient:
+                raise ValueError(f"byte {at}: {e}") from None
+            yield BadRecord(at, str(e)[:300])
+            if fields is None:
+                return
+            at = _next_header(data, at, fields)
+            continue
         if fields is None:
-            if not line.startswith("filedesc:"):
-                raise ValueError("no ARC version block")
-            fields = body.decode("utf-8", "replace").split("\n")[1].split(" ")
-            if fields[-1] != "Archive-length":
-                raise ValueError(f"unknown ARC fields: {fields}")
+            fields = found
+        else:
+            yield found
+        at = end
+
+
+def _arc_record(data: bytes, at: int, fields: list[str] | None) -> tuple:
+    """The record at a byte, or, without fields, the fields that the version block names; and where it ends."""
+    end = data.find(b"\n", at)
+    line = data[at : end if end >= 0 else len(data)].decode("utf-8", "replace").rstrip("\r")
+    parts = line.rsplit(" ", len(fields) - 1) if fields else line.split(" ")
+    if end < 0 or (fields and len(parts) != len(fields)):
+        raise ValueError(f"ARC header line of {len(parts)} fields: {line[:200]}")
+    size = int(parts[-1])
+    body, stop = data[end + 1 : end + 1 + size], end + 1 + size
+    if size < 0 or len(body) != size:
+        raise ValueError(f"ARC record cut short: {line[:200]}")
+    if fields is None:
+        if not line.startswith("filedesc:"):
+            raise ValueError("no ARC version block")
+        named = body.decode("utf-8", "replace").split("\n")[1].split(" ")
+        if named[-1] != "Archive-length":
+            raise ValueError(f"unknown ARC fields: {named}")
+        return named, stop
+    of = dict(zip(fields, parts, strict=True))
+    warc_date(of["Archive-date"])
+    return ArcRecord(of["URL"], of["IP-address"], of["Archive-date"], of["Content-type"], body), stop
+
+
+def _next_header(data: bytes, at: int, fields: list[str]) -> int:
+    """The next place after `at` where a line begins that is a header of a whole record."""
+    while (at := data.find(b"\n", at) + 1) > 0:
+        try:
+            if b":" in data[at : at + 200].split(b" ", 1)[0]:
+                _arc_record(data, at, fields)
+                return at
+        except (ValueError, KeyError, IndexError):
             continue
-        of = dict(zip(fields, parts, strict=True))
-        yield ArcRecord(of["URL"], of["IP-address"], of["Archive-date"], of["Content-type"], body)
+    return len(data)
+
+
+def warc_date(date: str) -> str:
+    """An ARC date of 4 to 14 digits as a WARC date."""
+    return datetime.strptime((date[:14] + "00000101000000"[len(date[:14]) :]), "%Y%m%d%H%M%S").strftime("%Y-%m-%dT%H:%M:%SZ")
 
 
 def http_parts(body: bytes) -> tuple[dict[str, str], bytes]:
@@ -115,7 +163,7 @@ def warc_record(fields: list[tuple[str, object]], block: bytes = b"") -> bytes:
 
 def converted(r: ArcRecord, keep: int | None = None) -> bytes:
     """The WARC record of an ARC record: a response, or, where another page keeps the payload, a revisit of that."""
-    date = datetime.strptime((r.date[:14] + "00000101000000"[len(r.date[:14]) :]), "%Y%m%d%H%M%S").strftime("%Y-%m-%dT%H:%M:%SZ")
+    date = warc_date(r.date)
     http, payload = http_parts(r.body)
     page, sha = http.get("x-page-id"), digest(payload)
     fields = [("WARC-Record-ID", record_id(page, sha, r.url, date)), ("WARC-Date", date), ("WARC-Target-URI", r.url), ("WARC-IP-Address", r.ip), ("WARC-Payload-Digest", f"sha1:{sha}")]
@@ -155,7 +203,11 @@ def page_arc(page_id: int | None, url: str | None, html: str | None) -> ArcRecor
     return ArcRecord(where, "0.0.0.0", f"{when:%Y%m%d%H%M%S}", "text/html", head + payload)
 
 
-def write_warc(pages: DataFrame, path: str, least_bytes: int = 0, records_a_file: int = RECORDS_A_FILE, compression: str = "none") -> None:
+def warcinfo() -> bytes:
+    return warc_record([("WARC-Type", "warcinfo"), ("WARC-Record-ID", f"<urn:uuid:{uuid.uuid4()}>"), ("WARC-Date", f"{FIRST_DATE:%Y-%m-%dT%H:%M:%SZ}"), ("Content-Type", "application/warc-fields")], b"software: siltstone\r\nformat: WARC File Format 1.1\r\n")
+
+
+def write_warc(pages: DataFrame, path: str, least_bytes: int = 0, file_bytes: int = FILE_BYTES, compression: str = "none", small: int = SMALL) -> None:
     """Writes a record for each row of pages (page_id, url, html) through the ARC converter. Of equal payloads of at least
     `least_bytes` bytes the one of the largest page_id is a response, the others are revisits of it.
 
@@ -167,26 +219,41 @@ def write_warc(pages: DataFrame, path: str, least_bytes: int = 0, records_a_file
     several = rows.filter(F.octet_length("html") >= least_bytes).groupBy(F.col("sha").alias("of")).agg(F.max("page_id").alias("keep"), F.count("*").alias("n")).filter("n > 1").drop("n")
     several = settled(several, "payloads")
     known = rows.join(several, F.col("sha") == F.col("of"), "left").select("page_id", "url", "html", "keep")
+    size = F.greatest(F.ceil(F.log(4.0, F.greatest(F.octet_length("html"), F.lit(1)) / small)), F.lit(0)).cast("int")
+    classes = sorted(r["k"] for r in rows.select(size.alias("k")).distinct().collect()) or [0]  # a row a class, 16 at most
+
+    for k in classes:
+        records = max(2, file_bytes // (small * 4**k))
+        lines = (known if len(classes) == 1 else known.filter(size == k)).mapInArrow(_records(records), "record binary").select(F.col("record").cast("string").alias("value"))
+        lines.write.mode("append").option("lineSep", "\r\n\r\n").option("maxRecordsPerFile", records).option("compression", compression).text(path)
+
+
+def _records(records: int):
+    """The WARC records of pages, with a warcinfo record before each `records - 1` of them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        info = warc_record([("WARC-Type", "warcinfo"), ("WARC-Record-ID", f"<urn:uuid:{uuid.uuid4()}>"), ("WARC-Date", f"{FIRST_DATE:%Y-%m-%dT%H:%M:%SZ}"), ("Content-Type", "application/warc-fields")], b"software: siltstone\r\nformat: WARC File Format 1.1\r\n")
-        yield pa.record_batch({"record": pa.array([info], pa.binary())})
-        version = 1
+        version, since = 1, records
         for batch in batches:
             ids, urls, html, keeps = (batch.column(c).to_pylist() for c in ("page_id", "url", "html", "keep"))
             for a, b in by_bytes(html):
                 version = 3 - version
-                legacy = write_arc([page_arc(*x) for x in zip(ids[a:b], urls[a:b], html[a:b], strict=True)], version)
-                yield pa.record_batch({"record": pa.array([converted(r, k) for r, k in zip(read_arc(legacy), keeps[a:b], strict=True)], pa.binary())})
+                legacy, out = write_arc([page_arc(*x) for x in zip(ids[a:b], urls[a:b], html[a:b], strict=True)], version), []
+                for r, k in zip(read_arc(legacy), keeps[a:b], strict=True):
+                    if since == records:
+                        out.append(warcinfo())
+                        since = 1
+                    out.append(converted(r, k))
+                    since += 1
+                yield pa.record_batch({"record": pa.array(out, pa.binary())})
+        trimmed()
 
-    lines = known.mapInArrow(run, "record binary").select(F.col("record").cast("string").alias("value"))
-    lines.write.option("lineSep", "\r\n\r\n").option("maxRecordsPerFile", records_a_file).option("compression", compression).text(path)
+    return run
 
 
 def entries(spark: SparkSession, path: str, with_payload: bool = False) -> DataFrame:
     """One row for each response, resource or revisit record under path: page_id (null where the record has none),
     url, date, record_type, payload_bytes, payload_digest, refers_to, and the payload if asked for. Payloads are checked
-    against their digests; files may be gzip-compressed."""
+    against their digests, and one that differs ends the job; files may be gzip-compressed; no files, or files without such records, give no rows."""
     schema = ENTRY if with_payload else pa.schema(list(ENTRY)[:-1])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -215,24 +282,40 @@ def entries(spark: SparkSession, path: str, with_payload: bool = False) -> DataF
     return files.mapInArrow(run, ENTRY_SQL + (", payload binary" if with_payload else ""))
 
 
-def arc_to_warc(spark: SparkSession, source: str, path: str, compression: str = "none") -> None:
-    """Converts the ARC files (plain or gzip-compressed) under source to WARC files at path."""
+def arc_to_warc(spark: SparkSession, source: str, path: str, compression: str = "none") -> DataFrame:
+    """Converts the ARC files (plain or gzip-compressed) under source to WARC files at path, each headed by a warcinfo record, and returns what
+    could not be read: file, offset, problem. A bad header, length or date costs its record alone; a file without a version block, or
+    one that cannot be decompressed, gives one such row. Empty files give none. Each source file is one output file."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import gzip
 
         for batch in batches:
-            for content in batch.column("content"):
-                data = content.as_py()
-                yield pa.record_batch({"record": pa.array(list(map(converted, read_arc(gzip.decompress(data) if data[:2] == b"\x1f\x8b" else data))), pa.binary())})
-
-    files = spark.read.format("binaryFile").load(source).select("content")
-    files.mapInArrow(run, "record binary").select(F.col("record").cast("string").alias("value")).write.option("lineSep", "\r\n\r\n").option("compression", compression).text(path)
+            for name, content in zip(batch.column("path").to_pylist(), batch.column("content"), strict=True):
+                data, good, bad = content.as_py(), [], []
+                try:
+                    data = gzip.decompress(data) if data[:2] == b"\x1f\x8b" else data
+                except (OSError, EOFError) as e:
+                    data, bad = b"", [BadRecord(0, str(e)[:300])]
+                for r in read_arc(data, lenient=True):
+                    (bad if isinstance(r, BadRecord) else good).append(r)
+                every = [*good, *bad]
+                records = [warcinfo(), *map(converted, good)] if good else []
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([*records, *[None] * len(bad)], pa.binary()), pa.array([name] * (len(records) + len(bad))), pa.array([None] * len(records) + [x.offset for x in bad], pa.int64()), pa.array([None] * len(records) + [x.problem for x in bad], pa.string())],
+                    names=["record", "file", "offset", "problem"],
+                ) if every else pa.RecordBatch.from_arrays([pa.array([], t) for t in (pa.binary(), pa.string(), pa.int64(), pa.string())], names=["record", "file", "offset", "problem"])
+
+    files = spark.read.format("binaryFile").load(source).select("path", "content")
+    made = settled(files.mapInArrow(run, "record binary, file string, offset long, problem string"), "converted")
+    lines = made.filter("record is not null").select(F.col("record").cast("string").alias("value"))
+    lines.write.option("lineSep", "\r\n\r\n").option("compression", compression).text(path)
+    return made.filter("record is null").select("file", "offset", "problem")
 
 
 def archived(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
     """Writes pages as WARC files in the shared folder and reads them back: page_id, payload_bytes,
-    payload_digest, record_type, refers_to."""
+    payload_digest, record_type, refers_to. Nulls, ties, repeated rows and empty tables as in write_warc(); pages of any size."""
     path = fresh_path(pages.sparkSession, "warc")
     write_warc(pages, path, least_bytes)
     return entries(pages.sparkSession, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
