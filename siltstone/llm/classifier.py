@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from siltstone.llm.shared import by_bytes, mixed, settled, table, trimmed, word_hashes
+from siltstone.llm.shared import by_bytes, free_name, mixed, settled, table, trimmed, word_hashes
 
 BUCKETS, SHAPES, DIMS = 1 << 13, 64, 64
 REACH = 2
@@ -102,6 +102,7 @@ def vectors(df: DataFrame, text_col: str = "text") -> tuple[np.ndarray, np.ndarr
                 n += np.bincount(rows, minlength=BUCKETS) + np.bincount(shape, minlength=BUCKETS)
         some = np.flatnonzero(n)
         grid = sums.reshape(BUCKETS, DIMS)[some].astype(np.int64)
+        trimmed()
         yield table(TABLE, bucket=some.astype(np.int32), n=n[some].astype(np.int64), **{k: np.ascontiguousarray(grid[:, i]) for i, k in enumerate(DIM_NAMES)})
 
     rows = df.select(F.col(text_col).alias("text")).filter("text is not null")
@@ -222,6 +223,7 @@ def score_of(spark: SparkSession, text: Column, model: tuple[np.ndarray, np.ndar
         v, weight, network = sent.value
         texts = text.to_pylist()
         parts = [network(pooled(texts[a:b], v, weight).astype(np.float64)) for a, b in by_bytes(texts, HASHED)]
+        trimmed()
         return pa.array(np.concatenate([np.empty(0), *parts]), pa.float64())
 
     return said.asNondeterministic()(text)
@@ -240,12 +242,14 @@ def score(df: DataFrame, model: tuple[np.ndarray, np.ndarray, Network], id_col:
 
 def good(df: DataFrame, model: tuple[np.ndarray, np.ndarray, Network], text_col: str = "text") -> DataFrame:
     """The rows of df, with all their columns, that score() predicts to be of label 1. No shuffle, no join."""
-    return df.withColumn("siltstone_score", score_of(df.sparkSession, F.col(text_col), model)).filter("siltstone_score >= 0.5").drop("siltstone_score")
+    name = free_name(df, "siltstone_score")
+    return df.withColumn(name, score_of(df.sparkSession, F.col(text_col), model)).filter(F.col(name) >= 0.5).select(*df.columns)
 
 
 def held_out_quality(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> DataFrame:
     """Learns from labels of rows whose crc32(id) mod 3 is not 1, scores all rows of df: id_col,
-    held_out, score, predicted."""
+    held_out, score, predicted. Null ids are not held out and never label a row; a label of a repeated id counts for each of its rows;
+    otherwise as score() and train()."""
     model = train(df, labels.filter(remainder(id_col, 3) != 1), label_col, id_col, text_col)
     held = F.coalesce(remainder(id_col, 3) == 1, F.lit(False)).alias("held_out")
     return score(df, model, id_col, text_col).select(id_col, held, "score", "predicted")

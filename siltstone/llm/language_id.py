@@ -71,7 +71,8 @@ def profiles(df: DataFrame, lang_col: str = "lang", text_col: str = "text", most
     """(language, its n-grams in order) from all rows of df with a text and a language, by name.
 
     Tasks sum their own rows' n-grams before the shuffle, so a language with most of the rows is
-    no hot key. What comes to the driver is `most` keys a language.
+    no hot key. What comes to the driver is `most` keys a language. Null texts and languages are left out, an empty text adds
+    nothing, repeated rows count each, equal counts are ordered by key, an empty table gives no profile.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
