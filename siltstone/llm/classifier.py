@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from siltstone.llm.shared import by_bytes, free_name, mixed, settled, table, trimmed, word_hashes
+from siltstone.llm.shared import by_bytes, cleared, free_name, mixed, settled, table, trimmed, word_hashes
 
 BUCKETS, SHAPES, DIMS = 1 << 13, 64, 64
 REACH = 2
@@ -27,7 +27,7 @@ REACH = 2
 MOST_LABELS = 20_000
 RARE = 1e-3
 HIDDEN, EPOCHS, BATCH, RATE, DECAY = 32, 60, 256, 3e-3, 1e-4
-HASHED = 1 << 20
+HASHED = 1 << 19
 DIM_NAMES = [f"d{i}" for i in range(DIMS)]
 
 TABLE = pa.schema([("bucket", pa.int32()), ("n", pa.int64()), *((k, pa.int64()) for k in DIM_NAMES)])
@@ -90,6 +90,7 @@ def vectors(df: DataFrame, text_col: str = "text") -> tuple[np.ndarray, np.ndarr
     own tables; Spark adds the tables by bucket; BUCKETS rows come to the driver."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cleared()
         sums, n = np.zeros(BUCKETS * DIMS), np.zeros(BUCKETS)
         for batch in batches:
             texts = batch.column("text").to_pylist()

@@ -32,7 +32,7 @@ from pyspark.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siltstone.llm.shared import ODD, by_bytes, free_name, mixed, run_hashes, settled, table, text_words, trimmed
+from siltstone.llm.shared import ODD, by_bytes, cleared, free_name, mixed, run_hashes, settled, table, text_words, trimmed
 
 ORDER, BITS = 4, 21
 #: N-grams of the highest order that occur less often are left to the back-off.
@@ -45,7 +45,9 @@ FIRST_CLASS, CLASSES = 0x110000, 0xF0000
 LOW = (1 << BITS) - 1
 #: The symbols that count as such.
 MARKS = "#*$%&|<>"
-HASHED = 1 << 20
+HASHED = 1 << 18
+#: N-grams that a task holds before it adds them up, and distinct ones before it passes them on.
+WAITING, PASSED_ON = 1 << 19, 1 << 18
 
 FEWEST_WORDS, MOST_REPEATED = 50, 50
 #: Half the width of a band, in robust standard deviations (interquartile range / 1.349), and at least.
@@ -65,9 +67,8 @@ def characters() -> tuple[np.ndarray, np.ndarray]:
     """For each code point whether it is of a word (letter, digit, mark on a letter), and whether it is white space."""
     global _classes
     if _classes is None:
-        every = [chr(i) for i in range(0x110000)]
-        word = np.fromiter((c.isalnum() or unicodedata.category(c)[0] == "M" for c in every), bool, 0x110000)
-        _classes = word, np.fromiter((c.isspace() for c in every), bool, 0x110000)
+        every = lambda of: np.fromiter((of(chr(i)) for i in range(0x110000)), bool, 0x110000)
+        _classes = every(lambda c: c.isalnum() or unicodedata.category(c)[0] == "M"), every(str.isspace)
     return _classes
 
 
@@ -136,6 +137,7 @@ def counted(df: DataFrame, text_col: str) -> DataFrame:
     """(hi, lo, n) over all texts: tasks add up what they meet, Spark adds up the tasks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cleared()
         held: list[tuple] = []
         size = 0
 
@@ -154,10 +156,10 @@ def counted(df: DataFrame, text_col: str) -> DataFrame:
                 first = order[begin]
                 held.append((key[first], hi[first], lo[first], n))
                 size += len(first)
-                if size > 1 << 21:
+                if size > WAITING:
                     held = [added()]
                     size = len(held[0][0])
-                    if size > 1 << 20:
+                    if size > PASSED_ON:
                         yield table(GRAMS, hi=held[0][1], lo=held[0][2], n=held[0][3])
                         held, size = [], 0
         if held:
@@ -347,6 +349,7 @@ def scored(df: DataFrame, model: list[Broadcast], text_col: str) -> tuple[DataFr
     def of(sent: Broadcast) -> Column:
         @F.arrow_udf(f"struct<{SCORES_SQL}>")
         def said(text: pa.Array) -> pa.Array:
+            cleared()
             texts, parts = text.to_pylist(), []
             for a, b in by_bytes(texts, HASHED):
                 predicted, total = log_sums(texts[a:b], sent.value)

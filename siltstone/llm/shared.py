@@ -97,6 +97,13 @@ def kept(key: tuple, make: Callable):
     return _kept[key]
 
 
+def cleared() -> None:
+    """Drops what another operator's tasks left in this Python worker. For operators that keep nothing themselves."""
+    if _kept:
+        _kept.clear()
+        trimmed()
+
+
 def trimmed() -> None:
     """Gives memory that Python, numpy and Arrow no longer use back to the system."""
     pa.default_memory_pool().release_unused()

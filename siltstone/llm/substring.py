@@ -31,12 +31,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from siltstone.llm.shared import by_bytes, line_words, run_hashes, settled, table, trimmed
+from siltstone.llm.shared import by_bytes, cleared, line_words, run_hashes, settled, table, trimmed
 
 WINDOW = 50
 #: Bits of a filter for each anchor in it, and of the largest filter (64 MB): more anchors take more scans.
 BLOOM_PER_ANCHOR, MOST_BLOOM = 16, 1 << 29
-HASHED = 1 << 20
+HASHED = 1 << 19
 #: Segments that a task holds before it settles copies among them.
 HELD = 1 << 18
 #: Parts of an anchor's rows where they are joined by it.
@@ -104,6 +104,7 @@ def shared_anchors(rows: DataFrame, window: int) -> DataFrame:
     """Anchors that documents of two ids or more have."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cleared()
         for batch in batches:
             texts, ids = batch.column("text").to_pylist(), batch.column("id").to_numpy(zero_copy_only=False)
             for a, b in by_bytes(texts, HASHED):
