@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from siltstone.llm.shared import by_bytes, cleared, free_name, mixed, settled, table, trimmed, word_hashes
+from siltstone.llm.shared import by_bytes, free_name, mixed, settled, table, tidy, trimmed, word_hashes
 
 BUCKETS, SHAPES, DIMS = 1 << 13, 64, 64
 REACH = 2
@@ -27,7 +27,7 @@ REACH = 2
 MOST_LABELS = 20_000
 RARE = 1e-3
 HIDDEN, EPOCHS, BATCH, RATE, DECAY = 32, 60, 256, 3e-3, 1e-4
-HASHED = 1 << 19
+HASHED = 1 << 18
 DIM_NAMES = [f"d{i}" for i in range(DIMS)]
 
 TABLE = pa.schema([("bucket", pa.int32()), ("n", pa.int64()), *((k, pa.int64()) for k in DIM_NAMES)])
@@ -90,7 +90,6 @@ def vectors(df: DataFrame, text_col: str = "text") -> tuple[np.ndarray, np.ndarr
     own tables; Spark adds the tables by bucket; BUCKETS rows come to the driver."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cleared()
         sums, n = np.zeros(BUCKETS * DIMS), np.zeros(BUCKETS)
         for batch in batches:
             texts = batch.column("text").to_pylist()
@@ -103,11 +102,10 @@ def vectors(df: DataFrame, text_col: str = "text") -> tuple[np.ndarray, np.ndarr
                 n += np.bincount(rows, minlength=BUCKETS) + np.bincount(shape, minlength=BUCKETS)
         some = np.flatnonzero(n)
         grid = sums.reshape(BUCKETS, DIMS)[some].astype(np.int64)
-        trimmed()
         yield table(TABLE, bucket=some.astype(np.int32), n=n[some].astype(np.int64), **{k: np.ascontiguousarray(grid[:, i]) for i, k in enumerate(DIM_NAMES)})
 
     rows = df.select(F.col(text_col).alias("text")).filter("text is not null")
-    parts = rows.mapInArrow(run, "bucket int, n long, " + ", ".join(f"{k} long" for k in DIM_NAMES))
+    parts = rows.mapInArrow(tidy(run), "bucket int, n long, " + ", ".join(f"{k} long" for k in DIM_NAMES))
     got = parts.groupBy("bucket").agg(*(F.sum(k).alias(k) for k in ("n", *DIM_NAMES))).toArrow()
     where = got.column("bucket").to_numpy()
     v, n = np.zeros((BUCKETS, DIMS)), np.zeros(BUCKETS)
@@ -207,7 +205,7 @@ def train(df: DataFrame, labels: DataFrame, label_col: str = "quality", id_col:
 
     # at most most_labels rows of 20 bytes are broadcast
     rows = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), F.col("id") == F.col("label_id")).select("text", "label", "fold")
-    got = settled(rows.mapInArrow(run, "label int, fold long, x array<float>"), "features").toArrow()
+    got = settled(rows.mapInArrow(tidy(run), "label int, fold long, x array<float>"), "features").toArrow()
     x = np.array(got.column("x").to_pylist(), np.float32).reshape(-1, 2 * DIMS)
     y, fold = got.column("label").to_numpy(), got.column("fold").to_numpy()
     at = np.lexsort((x[:, 0], y, fold)) if len(y) else np.empty(0, int)  # whatever order the tasks ended in

@@ -32,7 +32,7 @@ from pyspark.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siltstone.llm.shared import ODD, by_bytes, cleared, free_name, mixed, run_hashes, settled, table, text_words, trimmed
+from siltstone.llm.shared import ODD, by_bytes, cleared, free_name, mixed, run_hashes, settled, table, text_words, tidy, trimmed
 
 ORDER, BITS = 4, 21
 #: N-grams of the highest order that occur less often are left to the back-off.
@@ -137,7 +137,6 @@ def counted(df: DataFrame, text_col: str) -> DataFrame:
     """(hi, lo, n) over all texts: tasks add up what they meet, Spark adds up the tasks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cleared()
         held: list[tuple] = []
         size = 0
 
@@ -165,10 +164,9 @@ def counted(df: DataFrame, text_col: str) -> DataFrame:
         if held:
             _, hi, lo, n = added()
             yield table(GRAMS, hi=hi, lo=lo, n=n)
-        trimmed()
 
     rows = df.select(F.col(text_col).alias("text")).filter("text is not null")
-    return rows.mapInArrow(run, "hi long, lo long, n long").groupBy("hi", "lo").agg(F.sum("n").alias("n"))
+    return rows.mapInArrow(tidy(run), "hi long, lo long, n long").groupBy("hi", "lo").agg(F.sum("n").alias("n"))
 
 
 def discounts(having: dict[int, int]) -> tuple[float, float, float]:

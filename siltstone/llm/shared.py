@@ -17,6 +17,9 @@ from pyspark.sql import DataFrame, SparkSession
 #: Texts handed to one step of Python work together hold about this many bytes.
 BATCH_BYTES = 4 << 20
 
+#: Batches after which a task gives unused memory back.
+TRIM_EVERY = 16
+
 _written: list[tuple[SparkSession, str]] = []
 
 
@@ -104,6 +107,20 @@ def cleared() -> None:
         trimmed()
 
 
+def tidy(run: Callable) -> Callable:
+    """run, a function of batches that keeps nothing from task to task, in a worker that is cleared before and gives memory back now and then."""
+
+    def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cleared()
+        for i, out in enumerate(run(batches)):
+            yield out
+            if i % TRIM_EVERY == TRIM_EVERY - 1:
+                trimmed()
+        trimmed()
+
+    return tidied
+
+
 def trimmed() -> None:
     """Gives memory that Python, numpy and Arrow no longer use back to the system."""
     pa.default_memory_pool().release_unused()
