@@ -309,7 +309,7 @@ def deduplicate(df: DataFrame, window: int = WINDOW, most_bloom: int = MOST_BLOO
     Words are runs without ASCII white space. Null and empty texts and texts of fewer than `window`
     words lose nothing. Rows with a null id are no references and lose nothing. Rows of one id are
     one document as references and lose nothing to each other; repeated rows lose the same. A span's words stand
-    in the reference from the place it names; any smaller id may be the reference. An empty
+    in the reference from the place it names (where the reference's id has several texts, a span may run on from one into another); any smaller id may be the reference. An empty
     table gives no rows; columns not carried are not read. Copies of segments are reduced within tasks before they
     are shuffled, then by key; the join back may be split by key. Memory: a task's HELD segments; one document's words and hits.
     """

@@ -2,7 +2,6 @@
 
 import hashlib
 import random
-import re
 import zlib
 from collections import Counter
 
@@ -10,9 +9,9 @@ import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
-from siltstone.llm import chunk_reuse, classifier, language_id, packing, perplexity, token_counts
+from siltstone.llm import chunk_reuse, classifier, language_id, packing, token_counts
 from siltstone.llm.entries import tokenizer_path
-from siltstone.llm.shared import by_bytes, spans_hash
+from siltstone.llm.shared import by_bytes, mixed, run_hashes, word_hashes
 from siltstone.llm.tokenizing import PieceEncoder
 
 BYTE, WORD = tokenizer_path("byte_bpe_50k.json"), tokenizer_path("word_bpe_49k.json")
@@ -35,6 +34,22 @@ def test_pieces_encode_as_the_library(path):
     assert PieceEncoder(path).ids(texts) == library(path, texts)
     small = PieceEncoder(path, entries=3)  # a cache that turns over all the time
     assert [small.ids([t])[0] for t in texts] == library(path, texts)
+    assert max(map(len, [*small.matches, *small.first, *small.spaced]), default=0) <= 64  # long parts are not kept
+
+
+@pytest.mark.parametrize("path", [BYTE, WORD, tokenizer_path("piece_bpe_32k.model")])
+@pytest.mark.parametrize("batch", [50, 1 << 20])
+def test_batches_count_as_the_library(path, batch):
+    texts = [*ODD, *sample(), *sample(5, 6000, 2)]
+    if path.endswith(".model"):
+        import sentencepiece
+
+        want = list(map(len, sentencepiece.SentencePieceProcessor(model_file=path).encode(texts)))
+    else:
+        want = [len(x) // 4 for x in library(path, texts)]
+    counter = token_counts.BatchCounter(path, batch, entries=40)
+    assert counter.counts(texts) == want == counter.counts(texts)
+    assert counter.batches > 100 if batch == 50 else counter.batches < 5
 
 
 def test_sentencepiece_whole():
@@ -51,12 +66,30 @@ def test_chunks_are_repaired_exactly():
     texts = [*ODD, *sample(5, 9000, 4), "x" + shared, shared + "y", "zz " + shared[100:]]
     enc = chunk_reuse.ChunkEncoder(BYTE)
     ids, n = enc.ids(texts)
-    assert ids == library(BYTE, texts) and [enc.decode(x) for x in ids] == [t.encode() for t in texts] and max(n) > 3
+    assert ids == library(BYTE, texts) and [enc.decode(x) for x in ids] == [t.encode() for t in texts] and max(k for k, _ in n) > 3
+    assert n[-3][1] < n[-3][0] and n[-2][1] >= 2 and enc.grown == 0  # the second text has chunks of the first
+    again, known = enc.ids(texts)
+    assert again == ids and all(a == b for (a, b), t in zip(known, texts, strict=True) if t)  # all chunks are known now
     a, b = ([c for c in np.split(np.frombuffer(t.encode(), np.uint8), chunk_reuse.cuts(t.encode())[:-1])] for t in texts[-3:-1])
     assert len({x.tobytes() for x in a} & {x.tobytes() for x in b}) >= 2  # content decides where chunks end
     assert enc.decode(np.array([255 - 67], "<u4").tobytes()) != b""
 
 
+def test_windows_grow_until_they_agree(monkeypatch):
+    """Seams that are none make windows and chunks disagree; growing over the chunks still gives the library's ids."""
+    monkeypatch.setattr(chunk_reuse, "SEAM", chunk_reuse.re.compile(rb"(?<=[!-~])[a-z \t-\r]"))
+    rng = random.Random(3)
+    texts = ["".join(rng.choice("abc defgh. \n") for _ in range(5000)) for _ in range(20)]
+    enc = chunk_reuse.ChunkEncoder(BYTE)
+    ids, n = enc.ids(texts)
+    assert ids == library(BYTE, texts) and max(k for k, _ in n) > 3
+
+
+def test_reuse_over_documents(spark):
+    got = chunk_reuse.encode_decode_digests(spark.read.parquet("/root/testdata/sf0.01/documents.parquet").coalesce(1), BYTE).collect()
+    assert 0.02 < sum(r.n_reused for r in got) / sum(r.n_chunks for r in got) < 0.9
+
+
 def test_token_counts(tiny):
     got = token_counts.token_counts(tiny, BYTE, limit=20).collect()
     rows = {(r.doc_id, r.text) for r in tiny.collect()}
@@ -109,114 +142,10 @@ def test_packing(tiny, capacity):
     assert packing.pack(tiny.filter("false"), WORD).count() == 0
 
 
-def test_rules_count_as_plain_python(make):
-    rng = random.Random(2)
-    texts = ["".join(rng.choice(["a", "b", "cc", "#", "é", " ", " ", "\n", "\t", "$%"]) for _ in range(rng.randint(0, 120))) for _ in range(300)] + [None, "", "a b c a b c", "x\nx\n \nx"]
-    got = perplexity.plain_counts(texts)
-    for i, t in enumerate(x or "" for x in texts):
-        w = re.findall(r"[^\x20\x09-\x0D]+", t)
-        lines = [x for x in t.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
-        times, inside = Counter(zip(w, w[1:], w[2:])), set()
-        for k in range(len(w) - 2):
-            inside |= {k, k + 1, k + 2} if times[w[k], w[k + 1], w[k + 2]] > 1 else set()
-        want = {"n_words": len(w), "word_chars": sum(map(len, w)), "n_symbols": sum(c in perplexity.MARKS for c in t), "n_dup_lines": len(lines) - len(set(lines)), "n_repeat_words": len(inside)}
-        assert {k: int(v[i]) for k, v in got.items()} == want
-
-
-def kneser_ney(sequences, order, alphabet):
-    """Interpolated modified Kneser-Ney with plain dictionaries: a function of an n-gram as a tuple."""
-    tables = {order: Counter(s[i - order + 1 : i + 1] for s in sequences for i in range(order - 1, len(s)))}
-    for k in range(order - 1, 0, -1):
-        tables[k] = Counter(g[1:] for g in tables[k + 1])
-    cut = {k: perplexity.Model.discounts(np.array(list(t.values()))) for k, t in tables.items()}
-
-    def p(gram):
-        if not gram:
-            return 1 / alphabet
-        t, d = tables[len(gram)], cut[len(gram)]
-        same = [c for g, c in t.items() if g[:-1] == gram[:-1]]
-        if not same:
-            return p(gram[1:])
-        c = t.get(gram, 0)
-        return (c - d[min(c, 3)]) / sum(same) + sum(d[min(x, 3)] for x in same) / sum(same) * p(gram[1:])
-
-    return p
-
-
-def test_model_is_kneser_ney(make):
-    texts = ["abra Cadabra", "abc, abd. ab", "ad ab #1", "", None, "zz"]
-    model = perplexity.train(make(*enumerate(texts)))
-    keys, at = perplexity.grams(texts)
-    symbols = []
-    for i, t in enumerate(texts):
-        ends = keys[at[i] : at[i + 1]] & 63
-        symbols.append((perplexity.LINE,) * (perplexity.ORDER - 1) + tuple(int(x) for x in ends))
-    assert len(symbols[0]) == 3 + len(texts[0]) + 1  # a capital is two symbols
-    p = kneser_ney([s for s, t in zip(symbols, texts, strict=True) if t], perplexity.ORDER, 64)
-    other, _ = perplexity.grams(["abra Cadabra xyz % dab"])
-    for key in [*keys.tolist(), *other.tolist()]:
-        gram = tuple(key >> (6 * k) & 63 for k in (3, 2, 1, 0))
-        assert model.log_prob(np.array([key]))[0] == pytest.approx(np.log(p(gram)), abs=1e-4)
-    for context in (0, keys[3] >> 6, keys[-1] >> 6):
-        assert np.exp(model.log_prob(np.arange(64) | int(context) << 6)).sum() == pytest.approx(1, abs=1e-4)
-    assert all((np.diff(h.astype(np.int64)) > 0).all() for h, _ in model.grams.values())
-
-
 def prose(rng, n, words):
     return " ".join(rng.choice(words) for _ in range(n)) + "."
 
 
-def test_bands_reject_what_is_unlike_its_language(make, tiny):
-    rng = random.Random(4)
-    en, de = (["".join(rng.choice(parts) for _ in range(rng.randint(1, 3))) for _ in range(80)] for parts in (["the", "ing", "ou", "wa", "ter"], ["sch", "ung", "ä", "ge", "über"]))
-    docs = [(i, prose(rng, 200, en), "en") for i in range(60)] + [(100 + i, prose(rng, 200, de), "de") for i in range(60)]
-    docs += [(200, "".join(rng.choice("xqzjkw#% ") for _ in range(900)), "en"), (201, prose(rng, 10, en), "en"), (202, "go on " * 100, "en"), (203, None, "en"), (204, "", None)]
-    docs += [(210 + i, prose(rng, 200, en).replace(" ", ("### ", "&&& ")[i % 2]), "en") for i in range(6)] + [(220, " ".join(str(k * k) for k in range(90)), "en")]
-    got = {r.doc_id: r for r in perplexity.quality_rules(make(*docs)).collect()}
-    assert all(got[i].kept for i in [*range(60), *range(100, 160)]) and len(got) == 132
-    assert not got[200].kept and not got[200].base_failed and got[200].perplexity > got[200].upper
-    assert got[201].base_failed and got[202].base_failed and got[203].base_failed and got[203].n_words == 0 and not got[204].kept and got[204].perplexity == 1
-    assert not any(got[i].kept or got[i].base_failed for i in [*range(210, 216), 220]) and np.isfinite(got[220].perplexity)
-    assert got[0].upper != got[100].upper
-    rules = perplexity.quality_rules(tiny).collect()
-    assert len(rules) == 13 and {r.kept for r in rules} <= {True, False}
-    assert perplexity.quality_rules(tiny.filter("false")).count() == 0
-
-
-def banded(spark, monkeypatch, values):
-    """quality_rules() of rows (log-probability, text) whose scores are given: what is kept, in order."""
-    names = perplexity.SCORES.names
-    rows = [(i, "en", 100, 400, 0, 0, 0, float(x), k)[: len(names)] for i, (x, k) in enumerate(values)]
-    scored = spark.createDataFrame(rows, perplexity.SCORES_SQL)
-    monkeypatch.setattr(perplexity, "train", lambda *a: None)
-    monkeypatch.setattr(perplexity, "scores", lambda *a: scored)
-    got = {r.doc_id: r.kept for r in perplexity.quality_rules(scored).collect()}
-    return [got[i] for i in range(len(values))]
-
-
-@pytest.mark.parametrize("share", [0.0, 0.1, 0.24, 0.26, 0.33, 0.4, 0.45])
-def test_junk_does_not_widen_the_band(spark, monkeypatch, share):
-    rng = random.Random(5)
-    junk = int(1000 * share)
-    values = [(rng.gauss(-4.0 if i < junk else -3.0, 0.02), i) for i in range(1000)]
-    kept = banded(spark, monkeypatch, values)
-    assert not any(kept[:junk]) and all(kept[junk:])
-
-
-def test_copies_do_not_narrow_the_band(spark, monkeypatch):
-    rng = random.Random(6)
-    values = [(-3.0, 0)] * 800 + [(rng.gauss(-3.0, 0.1), i) for i in range(1, 201)]
-    assert all(banded(spark, monkeypatch, values))
-
-
-def test_a_hot_junk_source_is_rejected(make):
-    rng = random.Random(4)
-    words = ["".join(rng.choice(["the", "ing", "ou", "wa", "ter"]) for _ in range(rng.randint(1, 3))) for _ in range(80)]
-    docs = [(i, prose(rng, 200, words)) for i in range(60)] + [(100 + i, prose(rng, 200, words).replace(" ", ("### ", "&&& ")[i % 2])) for i in range(40)]
-    got = {r.doc_id: r.kept for r in perplexity.quality_rules(make(*docs)).collect()}
-    assert all(got[i] for i in range(60)) and not any(got[100 + i] for i in range(40))
-
-
 def test_classifier(make, tiny):
     rng = random.Random(6)
     good = [prose(rng, 60, ["river", "stone", "light", "cloud", "walks", "softly"]) for _ in range(300)]
@@ -245,6 +174,73 @@ def test_classifier(make, tiny):
     assert plan.count("ArrowEvalPython") == 1 and "Exchange" not in plan
 
 
+def test_held_out_quality_of_the_tables(spark):
+    """Ranking and accuracy on the fold that the network did not learn from, and how far scores are from frequencies."""
+    sf = "/root/testdata/sf0.01"
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    rows = [r for r in classifier.held_out_quality(spark.read.parquet(f"{sf}/documents.parquet"), labels).filter("held_out").join(labels, "doc_id").collect()]
+    bad, good = ([r.score for r in rows if r.quality == q] for q in (0, 1))
+    assert sum((g > b) + 0.5 * (g == b) for g in good for b in bad) / (len(good) * len(bad)) > 0.97
+    assert sum(r.predicted == r.quality for r in rows) / len(rows) > 0.95
+
+
+def test_held_out_languages_of_the_tables(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = language_id.held_out_languages(docs).filter("held_out").join(docs.select("doc_id", "lang"), "doc_id").filter("lang is not null and lang_pred <> 'und'").collect()
+    assert len(rows) > 100 and sum(r.lang == r.lang_pred for r in rows) / len(rows) > 0.98
+
+
+def test_profiles_by_counting(make):
+    docs = [(1, "ab ab", "x"), (2, "Ba, 7 ab", "x"), (3, "zz", "y"), (4, None, "y"), (5, "q", None)]
+    want = {}
+    for _, t, lang in docs:
+        if t and lang:
+            line = " " + " ".join(w for w in "".join(c if c.isalpha() else " " for c in t.lower()).split()) + " "
+            grams = [c for c in line if c != " "] + [line[i : i + 2] for i in range(len(line) - 1)] + [line[i : i + 3] for i in range(len(line) - 2)]
+            want.setdefault(lang, Counter()).update(grams)
+    key = lambda g: sum(ord(c) << (21 * (len(g) - 1 - i)) for i, c in enumerate(g))
+    got = language_id.profiles(make(*docs), most=9)
+    assert {k: v.tolist() for k, v in got} == {k: [key(g) for g in sorted(c, key=lambda g: (-c[g], key(g)))[:9]] for k, c in want.items()}
+
+
+def test_pooled_vectors_by_hand():
+    """Context sums, pooling and temperature against loops."""
+    texts = ["Ab ab, cd!! 12", None, "", "cd ab"]
+    words, shape, at = classifier.tokens(texts)
+    assert np.diff(at).tolist() == [6, 0, 0, 2] and words[0] == words[1] and shape[0] == 1 and shape[3] == 0
+    rows, text = classifier.buckets(words), np.repeat(np.arange(4), np.diff(at))
+    sums = np.zeros(classifier.BUCKETS * classifier.DIMS)
+    classifier.add_contexts(sums, rows, words, text)
+    want = np.zeros((classifier.BUCKETS, classifier.DIMS))
+    for i in range(len(words)):
+        for step in (1, 2):
+            for j, salt in ((i + step, step), (i - step, 64 + step)):
+                if 0 <= j < len(words) and text[i] == text[j]:
+                    h = int(classifier.mixed(words[j : j + 1] + np.uint64(salt))[0])
+                    for shift in (0, 16):
+                        want[rows[i], (h >> shift) % classifier.DIMS] += 1 if h >> (shift + 15) & 1 else -1
+    assert (sums.reshape(want.shape) == want).all()
+    rng = np.random.default_rng(1)
+    v, w = rng.normal(size=(classifier.BUCKETS, classifier.DIMS)).astype(np.float32), rng.uniform(0.1, 1, classifier.BUCKETS).astype(np.float32)
+    x = classifier.pooled(texts, v, w)
+    own = range(at[0], at[1])
+    assert np.allclose(x[0, : classifier.DIMS], sum(v[rows[i]] for i in own) / sum(w[rows[i]] for i in own), atol=1e-4)
+    assert np.allclose(x[0, classifier.DIMS :], sum(v[shape[i]] for i in own) / 6, atol=1e-4) and not x[1].any() and not x[2].any()
+
+
+def test_temperature_calibrates():
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(4000, 4))
+    y = (rng.uniform(size=4000) < 1 / (1 + np.exp(-2 * x[:, 0]))).astype(int)
+    held = np.arange(4000) % 5 == 0
+    net = classifier.Network().fit(x, y, held)
+    p = net(x[held])
+    loss = lambda t: np.logaddexp(0, np.where(y[held] == 1, -1, 1) * net.logit(x[held]) / t).mean()
+    assert loss(net.temperature) <= min(map(loss, np.linspace(0.3, 6, 40))) + 1e-4
+    bins = np.minimum((p * 5).astype(int), 4)
+    assert sum(abs(p[bins == b].mean() - y[held][bins == b].mean()) * (bins == b).mean() for b in range(5) if (bins == b).any()) < 0.06
+
+
 def test_languages(make, tiny):
     rng = random.Random(8)
     words = {"en": ["the", "house", "with", "thing", "water"], "de": ["der", "schnee", "nicht", "größe", "haus"], "fr": ["être", "maison", "avec", "où", "chien"]}
@@ -271,5 +267,14 @@ def test_ranks_and_distance_by_hand():
 def test_helpers():
     assert list(by_bytes(["a" * 5, None, "b" * 9, "c"], 6)) == [(0, 2), (2, 3), (3, 4)] and list(by_bytes([])) == []
     raw = np.frombuffer(b"abcabc", np.uint8)
-    h = spans_hash(raw, np.array([0, 3, 1, 0]), np.array([3, 6, 4, 0]))
-    assert h[0] == h[1] != h[2]
+    h = word_hashes(raw, np.array([0, 3, 1, 0]), np.array([3, 6, 4, 0]))
+    assert h[0] == h[1] != h[2] and len(set(h.tolist())) == 3
+    long = np.frombuffer(b"x" * 100 + b"y" + b"x" * 100 + b"z", np.uint8)
+    assert len(set(word_hashes(long, np.array([0, 101, 0, 0, 0]), np.array([101, 202, 100, 63, 9])).tolist())) == 5
+    assert list(by_bytes(["é" * 5, "a"], 10)) == [(0, 1), (1, 2)]  # bytes, not characters
+    words = mixed(np.arange(40, dtype=np.uint64))
+    twice = np.concatenate([words, words])
+    for width in (1, 2, 3, 5, 8, 25, 40):
+        runs = run_hashes(twice, width)
+        assert len(runs) == 80 - width + 1 and runs[0] == runs[40 if width <= 40 else 0] and len(set(runs.tolist())) == 40
+    assert len(run_hashes(words, 41)) == 0
