@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from siltstone import samples
 from siltstone.functions import paths, text, vectors
 from siltstone.functions.html import markdown
 from siltstone.operators import doc_chunks, graph, search, store
@@ -102,16 +103,16 @@ def oversize_windows(spark, sf_dir):
 
 
 def marked_pages(spark, sf_dir) -> DataFrame:
-    """Documents as Markdown: every third line a heading of some level, every eleventh a fence."""
+    """Documents as Markdown: every third line a heading of some level, a fence before every eleventh; no line is lost."""
     lines = F.transform(
         F.split("content", "\n"),
-        lambda x, i: F.when(i % 11 == 5, F.lit("```")).when(i % 3 == 0, F.concat(F.substring(F.lit("######"), F.lit(1), (1 + (F.col("doc_id") + 7 * i) % 6).cast("int")), F.lit(" "), F.substring(x, 1, 30))).otherwise(x),
+        lambda x, i: F.when(i % 11 == 5, F.concat(F.lit("```"), x)).when(i % 3 == 0, F.concat(F.substring(F.lit("######"), F.lit(1), (1 + (F.col("doc_id") + 7 * i) % 6).cast("int")), F.lit(" "), x)).otherwise(x),
     )
     return raw(spark, sf_dir).withColumn("content", F.array_join(lines, "\n")).withColumn("file_path", F.concat(F.lit("Page "), "doc_id"))
 
 
 MARKED = r"""lines AS (SELECT doc_id, source_id, unnest(range(0, len(l))) AS pos, unnest(l) AS line FROM (SELECT doc_id, source_id, string_split(content, chr(10)) AS l FROM raw WHERE content IS NOT NULL)),
-md AS (SELECT doc_id, source_id, pos, CASE WHEN pos % 11 = 5 THEN '```' WHEN pos % 3 = 0 THEN substr('######', 1, CAST(1 + (doc_id + 7 * pos) % 6 AS INT)) || ' ' || substr(line, 1, 30) ELSE line END AS line FROM lines),
+md AS (SELECT doc_id, source_id, pos, CASE WHEN pos % 11 = 5 THEN '```' || line WHEN pos % 3 = 0 THEN substr('######', 1, CAST(1 + (doc_id + 7 * pos) % 6 AS INT)) || ' ' || line ELSE line END AS line FROM lines),
 f AS (SELECT *, CAST(starts_with(trim(line), '```') AS INT) AS fence FROM md),
 o AS (SELECT *, coalesce(sum(fence) OVER (PARTITION BY source_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) % 2 AS op FROM f),
 h AS (SELECT *, CASE WHEN fence = 0 AND op = 0 THEN length(regexp_extract(line, '^(#{1,6})\s+(.+?)\s*$', 1)) ELSE 0 END AS level, regexp_extract(line, '^(#{1,6})\s+(.+?)\s*$', 2) AS heading FROM o),
@@ -250,19 +251,19 @@ def snippets(spark, sf_dir):
 
 
 def stored(spark, sf_dir) -> DataFrame:
-    """Two thirds of the documents as they were at the last sync; of some the content was another."""
-    old = raw(spark, sf_dir).filter(F.col("doc_id") % 3 != 0)
-    mark = F.when(F.col("doc_id") % 5 == 0, F.lit("old:")).otherwise("")
+    """The documents as they were at the last sync: those whose text's hash begins with 0 to 9 were there, and of those with 0 to 2 the content was another."""
+    old = raw(spark, sf_dir).filter(F.substring("content_hash", 1, 1) <= "9")
+    mark = F.when(F.substring("content_hash", 1, 1) <= "2", F.lit("old:")).otherwise("")
     chunks = old.withColumns(
         {
-            "chunk_id": F.concat(F.lit("c"), "doc_id"), "content_hash": F.concat(mark, "content_hash"), "display_content": F.concat(mark, "language"), "url": F.lit("u"), "start_line": F.lit(1), "symbol_name": F.lit("a"),
+            "chunk_id": F.concat(F.lit("c"), "doc_id"), "content_hash": F.concat(mark, "content_hash"), "display_content": F.concat(mark, "content"), "url": F.lit("u"), "start_line": F.lit(1), "symbol_name": F.lit("a"),
             "created_at": F.lit("2024-01-01 00:00:00").cast("timestamp"), "updated_at": F.lit("2024-01-01 00:00:00").cast("timestamp"),
         }
     )
     return chunks
 
 
-STORED = "old AS (SELECT doc_id, source_id, repo, language, 'c' || doc_id AS chunk_id, CASE WHEN doc_id % 5 = 0 THEN 'old:' ELSE '' END || content_hash AS content_hash, CASE WHEN doc_id % 5 = 0 THEN 'old:' ELSE '' END || language AS shown FROM raw WHERE doc_id % 3 <> 0)"
+STORED = "old AS (SELECT doc_id, source_id, repo, language, 'c' || doc_id AS chunk_id, CASE WHEN content_hash[1] <= '2' THEN 'old:' ELSE '' END || content_hash AS content_hash, CASE WHEN content_hash[1] <= '2' THEN 'old:' ELSE '' END || content AS shown FROM raw WHERE content_hash[1] <= '9')"
 
 
 @query(f"WITH {RAW}, {STORED} SELECT raw.doc_id, raw.source_id FROM raw LEFT JOIN (SELECT source_id, min(content_hash) AS h FROM old GROUP BY ALL) USING (source_id) WHERE raw.content_hash IS DISTINCT FROM h")
@@ -271,19 +272,19 @@ def changed_files(spark, sf_dir):
 
 
 def fresh(spark, sf_dir) -> DataFrame:
-    """New chunks: those of even documents, with another address and text."""
-    new = raw(spark, sf_dir).filter("doc_id % 2 = 0")
-    return new.withColumns({"chunk_id": F.concat(F.lit("c"), "doc_id"), "display_content": F.concat(F.lit("new:"), "language"), "url": F.lit("v"), "start_line": F.lit(2), "end_line": F.lit(2), "symbol_name": F.lit("b")})
+    """New chunks: those of every document that is new or has changed since, with another address and text."""
+    new = store.changed_files(raw(spark, sf_dir), stored(spark, sf_dir))
+    return new.withColumns({"chunk_id": F.concat(F.lit("c"), "doc_id"), "display_content": F.concat(F.lit("new:"), "content"), "url": F.lit("v"), "start_line": F.lit(2), "end_line": F.lit(2), "symbol_name": F.lit("b")})
 
 
-@query(f"""WITH {RAW}, {STORED}, new AS (SELECT *, 'c' || doc_id AS chunk_id FROM raw WHERE doc_id % 2 = 0)
+@query(f"""WITH {RAW}, {STORED}, new AS (SELECT raw.*, 'c' || raw.doc_id AS chunk_id FROM raw LEFT JOIN (SELECT source_id, min(content_hash) AS h FROM old GROUP BY ALL) USING (source_id) WHERE raw.content_hash IS DISTINCT FROM h)
     SELECT coalesce(old.chunk_id, new.chunk_id) AS chunk_id, coalesce(old.source_id, new.source_id) AS source_id, CASE WHEN new.chunk_id IS NULL THEN old.content_hash ELSE new.content_hash END AS content_hash,
-    CASE WHEN new.chunk_id IS NULL THEN shown ELSE 'new:' || new.language END AS display_content, CASE WHEN old.chunk_id IS NULL THEN 'v' ELSE 'u' END AS url, CASE WHEN new.chunk_id IS NULL THEN 'a' ELSE 'b' END AS symbol_name,
+    sha256(CASE WHEN new.chunk_id IS NULL THEN shown ELSE 'new:' || new.content END) AS shown_hash, CASE WHEN old.chunk_id IS NULL THEN 'v' ELSE 'u' END AS url, CASE WHEN new.chunk_id IS NULL THEN 'a' ELSE 'b' END AS symbol_name,
     CASE WHEN old.chunk_id IS NULL THEN '2025' ELSE '2024' END AS created, CASE WHEN new.chunk_id IS NULL THEN '2024' ELSE '2025' END AS updated FROM old FULL JOIN new USING (chunk_id)""")
 def merge_chunks(spark, sf_dir):
     merged = store.merge_chunks(stored(spark, sf_dir), fresh(spark, sf_dir), F.lit("2025-01-01 00:00:00").cast("timestamp"))
     year = lambda c: F.date_format(c, "yyyy")
-    return merged.select("chunk_id", "source_id", "content_hash", "display_content", "url", "symbol_name", year("created_at").alias("created"), year("updated_at").alias("updated"))
+    return merged.select("chunk_id", "source_id", "content_hash", F.sha2("display_content", 256).alias("shown_hash"), "url", "symbol_name", year("created_at").alias("created"), year("updated_at").alias("updated"))
 
 
 @query(f"WITH {RAW}, {STORED} SELECT chunk_id FROM old WHERE doc_id % 4 <> 1 OR doc_id % 8 = 1")
@@ -301,17 +302,17 @@ def sync_status(spark, sf_dir):
 
 
 def records(spark, sf_dir) -> DataFrame:
-    """documents as symbols: named by their first two terms, calling and importing by the next ones."""
+    """documents as symbols: named by their first two terms; all the terms that follow are references, by their place in turn calls, imports and bases."""
     docs = raw(spark, sf_dir).select("doc_id", "repo", F.filter(F.split(F.lower(F.coalesce("content", F.lit(""))), "[^a-z]+"), lambda t: t != "").alias("t"))
-    some = lambda a, n: F.slice("t", a, n)
+    every = lambda k: F.filter("t", lambda x, i: (i > 1) & (i % 4 == k))
     return docs.filter(F.size("t") >= 2).select(
-        "doc_id", "repo", F.concat(F.lit("f"), F.col("doc_id") % 50).alias("file_path"), F.concat(F.get("t", F.lit(0)), F.lit("."), F.get("t", F.lit(1))).alias("symbol_name"), some(13, 4).alias("imports"),
-        some(3, 10).alias("calls"), F.transform(some(17, 2), lambda x: F.concat(x, F.lit("."), x)).alias("extends_symbols"), F.array().cast("array<string>").alias("implements_symbols"),
+        "doc_id", "repo", F.concat(F.lit("f"), F.col("doc_id") % 50).alias("file_path"), F.concat(F.get("t", F.lit(0)), F.lit("."), F.get("t", F.lit(1))).alias("symbol_name"), every(2).alias("imports"),
+        F.array_distinct(F.concat(every(3), every(0))).alias("calls"), F.transform(every(1), lambda x: F.concat(x, F.lit("."), x)).alias("extends_symbols"), F.array().cast("array<string>").alias("implements_symbols"),
     )
 
 
 RECORDS = """t AS (SELECT doc_id, source AS repo, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^a-z]+'), lambda x: x <> '') AS t FROM documents),
-    rec AS (SELECT doc_id, repo, 'f' || (doc_id % 50) AS file_path, t[1] || '.' || t[2] AS symbol_name, t[2] AS last, t[13:16] AS imports, t[3:12] AS calls, list_transform(t[17:18], lambda x: x || '.' || x) AS ext FROM t WHERE len(t) >= 2),
+    rec AS (SELECT doc_id, repo, 'f' || (doc_id % 50) AS file_path, t[1] || '.' || t[2] AS symbol_name, t[2] AS last, list_filter(t, lambda x, i: i > 2 AND (i - 1) % 4 = 2) AS imports, list_filter(t, lambda x, i: i > 2 AND (i - 1) % 4 IN (3, 0)) AS calls, list_transform(list_filter(t, lambda x, i: i > 2 AND (i - 1) % 4 = 1), lambda x: x || '.' || x) AS ext FROM t WHERE len(t) >= 2),
     named AS (SELECT *, repo || ':' || file_path || ':' || symbol_name AS fq FROM rec),
     idx AS (SELECT DISTINCT repo, symbol_name AS name, fq FROM named UNION SELECT DISTINCT repo, last, fq FROM named),
     refs AS (SELECT DISTINCT repo, fq, relationship, name FROM (SELECT repo, fq, 'imports' AS relationship, unnest(imports) AS name FROM named UNION ALL SELECT repo, fq, 'calls', unnest(calls) FROM named UNION ALL SELECT repo, fq, 'extends', unnest(ext) FROM named)),
@@ -380,10 +381,118 @@ def code_chunks(spark, sf_dir):
     return chunk_code(docs).select("chunk_id", "source_id", "symbol_name", "symbol_type", "start_line", "end_line", "url", F.size("calls").alias("n_calls"), F.sha2("content", 256).alias("text_hash"))
 
 
-@query()
+#: Each word adds or takes one at a place that its digest names; vectors have length one, or none.
+@query("""WITH w AS (SELECT doc_id, md5(unnest(list_filter(regexp_split_to_array(lower(text), '[^a-z0-9]+'), lambda x: x <> ''))) AS h FROM documents WHERE text IS NOT NULL),
+    v AS (SELECT doc_id, CAST('0x' || h[1:8] AS BIGINT) % 32 AS d, sum(CASE WHEN h[9] >= '8' THEN 1.0::DOUBLE ELSE -1.0::DOUBLE END) AS x FROM w GROUP BY ALL),
+    n AS (SELECT *, sqrt(sum(x * x) OVER (PARTITION BY doc_id)) AS size FROM v), u AS (SELECT doc_id, d, CASE WHEN size > 0 THEN x / size ELSE 0 END AS x FROM n)
+    SELECT doc_id, round(coalesce(sum(x), 0), 3) AS total, round(coalesce(sum(x * (d + 1)), 0), 3) AS moment FROM documents LEFT JOIN u USING (doc_id) WHERE text IS NOT NULL GROUP BY doc_id""")
 def embedded_documents(spark, sf_dir):
-    chunks = raw(spark, sf_dir).select("doc_id", "content")
-    return embedded(chunks, HashEmbedder(32)).select("doc_id", "embedding")
+    chunks = raw(spark, sf_dir).select("doc_id", "content").filter("content is not null")
+    total = lambda v: F.round(F.aggregate(v, F.lit(0.0), lambda s, x: s + x) + 0.0, 3)
+    held = embedded(chunks, HashEmbedder(32)).select("doc_id", F.col("embedding").cast("array<double>").alias("v"))
+    return held.select("doc_id", total(F.col("v")).alias("total"), total(F.transform("v", lambda x, i: x * (i + 1))).alias("moment"))
+
+
+RELATIONS = "'imports', 'calls', 'extends'"
+
+
+@query(f"""WITH {RECORDS}, again AS (SELECT repo FROM named GROUP BY repo HAVING count(*) % 2 = 0) SELECT repo, from_symbol, to_symbol, relationship FROM edges WHERE repo NOT IN (SELECT repo FROM again) OR relationship = 'calls'""")
+def replaced_edges(spark, sf_dir):
+    """Repositories with an even number of symbols are rebuilt, and of their edges only calls are found this time."""
+    held = records(spark, sf_dir)
+    edges = graph.resolve_edges(held)
+    again = held.groupBy("repo").agg(F.count("*").alias("n")).filter("n % 2 = 0").select("repo")
+    return store.replaced_edges(edges, edges.filter("relationship = 'calls'"), again).select("repo", "from_symbol", "to_symbol", "relationship")
+
+
+@query(f"WITH {TERMS}, docs AS (SELECT id, repo, t, CASE WHEN id % 2 = 0 THEN 'code' ELSE 'confluence' END AS kind FROM terms), here AS (SELECT id, t FROM docs WHERE kind = 'code' AND repo = 'src0'), {BM25.replace('FROM terms', 'FROM here')} SELECT id, round(score, 6) AS score, CAST(row_number() OVER (ORDER BY score DESC, id) AS INT) AS rank FROM scored ORDER BY scored.score DESC, id LIMIT 30")
+def lexical_topk_filtered(spark, sf_dir):
+    """Both filters before the lexical side: kinds by turns, one repository."""
+    docs = read(spark, sf_dir, "documents").withColumn("source_type", F.when(F.col("doc_id") % 2 == 0, "code").otherwise("confluence")).withColumnRenamed("source", "repo")
+    held = search.filtered(docs, repo="src0", source_type="code")
+    return search.lexical_topk(held, QUERY, id_col="doc_id", text_col="text").select("id", F.round("score", 6).alias("score"), "rank")
+
+
+@query("""SELECT doc_id, substr(sha256('doc:' || source || ':' || doc_id || ':(page):1'), 1, 24) AS chunk_id, '(page)' AS symbol_name, CAST(len(string_split(text, chr(10))) AS INT) AS end_line,
+    sha256('Page: P' || doc_id || chr(10) || chr(10) || 'Labels: ' || lang || ', ' || source || CASE WHEN trim(text, E' \\n\\t\\r\\x0b\\x0c') = '' THEN '' ELSE chr(10) || chr(10) || regexp_replace(text, '^\\s+|\\s+$', '', 'g') END) AS text_hash FROM documents WHERE text IS NOT NULL""")
+def plain_pages(spark, sf_dir):
+    """documents as pages without headings, with labels: one chunk each."""
+    pages = raw(spark, sf_dir).withColumn("file_path", F.concat(F.lit("P"), "doc_id")).withColumn("labels", F.array("language", "repo"))
+    found = doc_chunks.chunk_pages(pages).join(pages.select("source_id", "doc_id"), "source_id")
+    return found.select("doc_id", "chunk_id", "symbol_name", "end_line", F.sha2("content", 256).alias("text_hash"))
+
+
+#: What the sample files hold, read off their text: name, kind, exported, markers, lines, calls, bases, interfaces, route.
+SYMBOLS = {
+    "typescript": """Amount|type|false||5|5||||
+Entry|interface|true||7|9||||
+useTotals|function|false|react-hook|17|20|choose,now,total|||
+Line|component|true|react-component|23|26|useTotals,mark,format|||
+round|function|true||28|28|round,Number|||
+saveEntry|endpoint|false|express-route|37|39|valid,put|||PUT /entries
+DELETE /entries/:id|endpoint|false|express-route|33|33|delete,then,drop,sendStatus|||""",
+    "java": """Ledger.Ledger|method|true|spring-controller|12|12|check|Shelf|Countable,Iterable|
+Ledger.sum|endpoint|true|spring-controller,spring-endpoint|15|18|reduce,map,stream,weigh,add|Shelf|Countable,Iterable|
+Ledger.log|method|false|spring-controller|20|20|println,trim|Shelf|Countable,Iterable|
+Entries.byId|method|true|spring-repository|25|25||||
+Side|class|true||28|28||||
+Pair.both|method|true||31|31||||""",
+    "python": """entry|endpoint|true|fastapi-endpoint|10|13|first,find,weigh|||GET /entries/{id}
+total|endpoint|true|bottle-endpoint|16|18|add,now|||POST /sum
+change|endpoint|true|django-endpoint|21|23|save|||PUT/PATCH
+_round|function|false||26|29|floor,inner|||
+Entry|class|true|django-model|32|33|field,max|Model||
+EntryView.get|method|true|django-view|37|38|answer,load|APIView,Countable||
+EntryView._key|method|false|django-view|40|41||APIView,Countable||""",
+    "javascript": "null|other|false||1|2||||",
+}
+IMPORTS = {"typescript": "Ledger,clock,defaults,pick,choose", "java": "Clock,add", "python": "clock,sums,APIRouter,route,models", "javascript": ""}
+#: Languages and files of the samples.
+SAMPLES = {"typescript": ("book.tsx", samples.SCRIPT), "java": ("Ledger.java", samples.JAVA), "python": ("ledger.py", samples.PYTHON), "javascript": ("all.js", samples.BARE)}
+
+
+def _symbol_sql(language: str) -> str:
+    """The rows of SYMBOLS; ids, addresses and what is shown follow from them and the file's text."""
+    path, source = SAMPLES[language]
+    rows = ", ".join("(" + ", ".join("NULL" if x == "null" else "'" + x.replace("'", "''") + "'" for x in line.split("|")) + ")" for line in SYMBOLS[language].split("\n"))
+    text = source.replace("'", "''")
+    return f"""WITH f AS (SELECT string_split('{text}', chr(10)) AS l), s AS (SELECT * FROM (VALUES {rows}) AS t(symbol_name, symbol_type, exported, markers, a, b, calls, extends, implements, route))
+    SELECT symbol_name, symbol_type, CAST(exported AS BOOLEAN) AS exported, markers, CAST(a AS INT) AS start_line, CAST(b AS INT) AS end_line, calls, extends, implements, '{IMPORTS[language]}' AS imports,
+    substr(sha256('s:{path}:' || coalesce(symbol_name, '__file__') || ':' || a), 1, 24) AS chunk_id, CASE WHEN symbol_name IS NULL THEN 'u' ELSE 'u#L' || a || '-L' || b END AS url,
+    len(array_to_string(l[CAST(a AS INT):CAST(b AS INT)], chr(10))) AS lines_length, coalesce(route, '') AS route FROM s, f"""
+
+
+def _symbols(spark, language: str) -> DataFrame:
+    path, source = SAMPLES[language]
+    docs = spark.createDataFrame([(f"s:{path}", source, "r", path, language, "u")], "source_id string, content string, repo string, file_path string, language string, url string")
+    listed = lambda c: F.array_join(F.coalesce(c, F.array().cast("array<string>")), ",")
+    found = chunk_code(docs)
+    lines = F.slice(F.split(F.lit(source), "\n"), F.col("start_line"), F.col("end_line") - F.col("start_line") + 1)
+    return found.select(
+        "symbol_name", "symbol_type", "exported", listed(F.col("framework_markers")).alias("markers"), "start_line", "end_line", listed(F.col("calls")).alias("calls"), listed(F.col("extends_symbols")).alias("extends"),
+        listed(F.col("implements_symbols")).alias("implements"), listed(F.col("imports")).alias("imports"), "chunk_id", "url", F.length(F.array_join(lines, "\n")).cast("long").alias("lines_length"),
+        F.regexp_extract("content", r"\n\nRoute: (.*)\n\n", 1).alias("route"),
+    )
+
+
+@query(_symbol_sql("typescript"))
+def typescript_symbols(spark, sf_dir):
+    return _symbols(spark, "typescript")
+
+
+@query(_symbol_sql("java"))
+def java_symbols(spark, sf_dir):
+    return _symbols(spark, "java")
+
+
+@query(_symbol_sql("python"))
+def python_symbols(spark, sf_dir):
+    return _symbols(spark, "python")
+
+
+@query(_symbol_sql("javascript"))
+def whole_file_chunks(spark, sf_dir):
+    return _symbols(spark, "javascript")
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

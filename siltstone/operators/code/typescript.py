@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from functools import cached_property
 
 from siltstone.operators.code.lexer import Lexer, Token, chain_start, generics_end, past
 from siltstone.operators.code.model import SourceFile, Symbol
@@ -235,7 +236,9 @@ class Scanner:
                 k = past(t, k)
         return self.text(k) == "=>"
 
-    def _routers(self) -> set[str]:
+    @cached_property
+    def routers(self) -> set[str]:
+        """Names that hold an application or a router, found once a file."""
         names, t = set(), self.t
         for i, x in enumerate(t):
             if x.text not in ("const", "let", "var") or x.kind != "word":
@@ -271,7 +274,7 @@ class Scanner:
             then = past(t, then)
         if verb not in VERBS or first.kind not in ("text", "template") or not first.text[1:].startswith("/") or self.text(then) not in (",", ")"):
             return []
-        if not router_like(t[i].text) and t[i].text not in self._routers():
+        if not router_like(t[i].text) and t[i].text not in self.routers:
             return []
         k, start = i + 4, i + 4
         while k < last - 1:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from siltstone.functions.paths import chunk_id, joined_parts
 from siltstone.schema import CHUNK, conform
 
+#: Limits of a section in characters, and what a heading is.
 LEAST, MOST, OVERLAP = 40, 6000, 500
 HEADING = r"(?U)^(#{1,6})\s+(.+?)\s*$"
 

@@ -43,8 +43,8 @@ class HashEmbedder:
     def _one(self, text: str) -> Vector:
         v = [0.0] * self.dimensions
         for w in re.findall(r"[a-z0-9]+", text.lower()):
-            h = int.from_bytes(hashlib.blake2b(w.encode(), digest_size=8).digest(), "little")
-            v[h % self.dimensions] += 1.0 if h >> 63 else -1.0
+            h = hashlib.md5(w.encode(), usedforsecurity=False).hexdigest()
+            v[int(h[:8], 16) % self.dimensions] += 1.0 if int(h[8], 16) >= 8 else -1.0
         size = math.sqrt(sum(x * x for x in v)) or 1.0
         return [x / size for x in v]
 

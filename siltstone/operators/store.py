@@ -1,20 +1,28 @@
-"""The chunk table: what changed, upsert, pruning, status, and snapshots on disk."""
+"""The chunk table: what changed, upsert, pruning, status, and tables on disk that are replaced as a whole or by part."""
 
 from __future__ import annotations
 
-import json
+import re
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from siltstone.schema import STORED_CHUNK, conform
+from siltstone.schema import EDGE, STORED_CHUNK, conform
 
 #: What an upsert leaves as it was in a chunk that is there already.
 KEPT = ("source_type", "source_id", "repo", "file_path", "language", "url", "created_at")
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """name, with as many underscores after it as make it a new column of df."""
+    have = {c.lower() for c in df.columns}
+    while name.lower() in have:
+        name += "_"
+    return name
+
+
 def changed_files(docs: DataFrame, stored: DataFrame) -> DataFrame:
     """The rows of docs (source_id, content_hash, ...) whose source is not stored or has another hash."""
     known = stored.groupBy("source_id").agg(F.min("content_hash").alias("stored_hash"))
@@ -25,8 +33,8 @@ def changed_files(docs: DataFrame, stored: DataFrame) -> DataFrame:
 def latest(new: DataFrame, ordinal: Column | None = None) -> DataFrame:
     """One row a chunk_id, the last by ordinal (by default by line)."""
     order = ordinal if ordinal is not None else F.struct("start_line", "end_line", F.sha2("content", 256))
-    nth = F.row_number().over(W.partitionBy("chunk_id").orderBy(order.desc()))
-    return new.withColumn("_nth", nth).filter("_nth = 1").drop("_nth")
+    nth = free_name(new, "nth")
+    return new.withColumn(nth, F.row_number().over(W.partitionBy("chunk_id").orderBy(order.desc()))).filter(F.col(nth) == 1).drop(nth)
 
 
 def merge_chunks(old: DataFrame, new: DataFrame, now: Column | None = None, refresh_url: bool = False) -> DataFrame:
@@ -54,9 +62,10 @@ def merge_chunks(old: DataFrame, new: DataFrame, now: Column | None = None, refr
 
 def prune_stale(stored: DataFrame, touched: DataFrame, keep: DataFrame) -> DataFrame:
     """stored without the chunks of touched sources (source_id) that keep (source_id, chunk_id) lacks."""
-    marked = stored.join(touched.select("source_id").distinct().withColumn("_touched", F.lit(True)), "source_id", "left")
-    marked = marked.join(keep.select("source_id", "chunk_id").distinct().withColumn("_keep", F.lit(True)), ["source_id", "chunk_id"], "left")
-    return marked.filter(F.col("_touched").isNull() | F.col("_keep").isNotNull()).select(stored.columns)
+    was, stays = free_name(stored, "touched"), free_name(stored, "stays")
+    marked = stored.join(touched.select("source_id").distinct().withColumn(was, F.lit(True)), "source_id", "left")
+    marked = marked.join(keep.select("source_id", "chunk_id").distinct().withColumn(stays, F.lit(True)), ["source_id", "chunk_id"], "left")
+    return marked.filter(F.col(was).isNull() | F.col(stays).isNotNull()).select(stored.columns)
 
 
 def prune_missing_sources(stored: DataFrame, listed: DataFrame) -> DataFrame:
@@ -65,14 +74,19 @@ def prune_missing_sources(stored: DataFrame, listed: DataFrame) -> DataFrame:
 
 
 def sync_status(docs: DataFrame, stored: DataFrame, chunked: DataFrame, embedded: DataFrame) -> DataFrame:
-    """(source_id, status, failed_chunks): skipped where nothing changed, failed where no chunk of a changed
-    source was embedded, else indexed. chunked and embedded: (source_id) a row a chunk."""
+    """(source_id, status, failed_chunks): failed where the source could not be fetched (docs may have a column fetch_error) or no
+    chunk of a changed source was embedded, skipped where nothing changed or the provider gave no content (null), else indexed.
+    chunked and embedded: (source_id) a row a chunk."""
+    error = F.col("fetch_error") if "fetch_error" in docs.columns else F.lit(None).cast("string")
+    seen = docs.groupBy("source_id").agg(F.max(error).alias("problem"), F.max(F.col("content").isNull() if "content" in docs.columns else F.lit(False)).alias("empty"))
     new = changed_files(docs, stored).select("source_id").distinct().withColumn("changed", F.lit(True))
     count = lambda df, name: df.groupBy("source_id").agg(F.count("*").alias(name))
-    joined = docs.select("source_id").distinct().join(new, "source_id", "left").join(count(chunked, "made"), "source_id", "left").join(count(embedded, "kept"), "source_id", "left")
+    joined = seen.join(new, "source_id", "left").join(count(chunked, "made"), "source_id", "left").join(count(embedded, "kept"), "source_id", "left")
     kept = F.coalesce("kept", F.lit(0))
-    status = F.when(F.col("changed").isNull(), "skipped").when(kept == 0, "failed").otherwise("indexed")
-    return joined.select("source_id", status.alias("status"), F.when(F.col("changed").isNull(), 0).otherwise(F.coalesce("made", F.lit(0)) - kept).alias("failed_chunks"))
+    failed = F.col("problem").isNotNull()
+    idle = F.col("changed").isNull() | F.col("empty")
+    status = F.when(failed, "failed").when(idle, "skipped").when(kept == 0, "failed").otherwise("indexed")
+    return joined.select("source_id", status.alias("status"), F.when(failed | idle, 0).otherwise(F.coalesce("made", F.lit(0)) - kept).alias("failed_chunks"))
 
 
 def summary(status: DataFrame) -> DataFrame:
@@ -80,41 +94,67 @@ def summary(status: DataFrame) -> DataFrame:
 
 
 class Snapshots:
-    """A table as Parquet snapshots under one folder, the current one named by a pointer file that is
-    replaced as a whole: readers see the old snapshot or the new one. Any file system Spark writes to."""
+    """A table as numbered Parquet snapshots under one folder, on any file system that Spark writes to. A snapshot counts once its last file, Spark's mark of
+    success, is there, and the one of the largest number is the table. Nothing that is there is moved or deleted, so a reader has the old
+    snapshot or the new one at any time, and a writer that ends half-way leaves the old one. tidy() drops what is older than the last few."""
+
+    NAME = re.compile(r"snapshot-(\d{12})-[0-9a-f]{32}")
 
     def __init__(self, spark: SparkSession, path: str, partition_by: tuple[str, ...] = ()):
         self.spark, self.path, self.partition_by = spark, path.rstrip("/"), partition_by
-        jvm = spark.sparkContext._jvm
-        self._path = jvm.org.apache.hadoop.fs.Path
+        self._path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
         self.fs = self._path(self.path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
+    def complete(self) -> list[str]:
+        """Names of the snapshots that are whole, in order."""
+        if not self.fs.exists(self._path(self.path)):
+            return []
+        names = [s.getPath().getName() for s in self.fs.listStatus(self._path(self.path))]
+        return sorted(n for n in names if self.NAME.fullmatch(n) and self.fs.exists(self._path(f"{self.path}/{n}/_SUCCESS")))
+
     def current(self) -> str | None:
-        pointer = f"{self.path}/current"
-        if not self.fs.exists(self._path(pointer)):
-            return None
-        return f"{self.path}/{json.loads(self.spark.read.text(pointer, wholetext=True).first()[0])['snapshot']}"
+        names = self.complete()
+        return f"{self.path}/{names[-1]}" if names else None
 
     def read(self, schema=STORED_CHUNK) -> DataFrame:
         at = self.current()
         return self.spark.read.schema(schema).parquet(at) if at else self.spark.createDataFrame([], schema)
 
     def write(self, df: DataFrame) -> str:
-        name = f"snapshot-{uuid.uuid4().hex}"
+        """df as the next snapshot; df may read the present one."""
+        names = self.complete()
+        number = int(self.NAME.fullmatch(names[-1])[1]) + 1 if names else 1
+        name = f"snapshot-{number:012d}-{uuid.uuid4().hex}"
         writer = df.write.partitionBy(*self.partition_by) if self.partition_by else df.write
-        writer.parquet(f"{self.path}/{name}")
-        told = self._path(f"{self.path}/pointer-{name}")
-        out = self.fs.create(told, True)
-        out.write(bytearray(json.dumps({"snapshot": name}).encode()))
-        out.close()
-        pointer = self._path(f"{self.path}/current")
-        old = self.current()
-        if old:
-            self.fs.delete(pointer, False)
-        self.fs.rename(told, pointer)
+        writer.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true").parquet(f"{self.path}/{name}")
         return name
 
+    def tidy(self, keep: int = 2) -> None:
+        """Drops all but the last `keep` whole snapshots, and unfinished ones older than these. For when no reader holds them."""
+        last = self.complete()[-keep:]
+        for s in self.fs.listStatus(self._path(self.path)) if last else []:
+            name = s.getPath().getName()
+            if self.NAME.fullmatch(name) and name < last[0]:
+                self.fs.delete(s.getPath(), True)
+
+
+def edges_of(spark: SparkSession, path: str) -> DataFrame:
+    """The edges at path, those of all repositories; none where nothing was written yet."""
+    return Snapshots(spark, path, ("repo",)).read(EDGE)
+
+
+def replaced_edges(old: DataFrame, new: DataFrame, repos: DataFrame) -> DataFrame:
+    """old with the edges of the rebuilt repositories (repo) dropped and new ones in their place: a repository that resolves to no
+    edge has none afterwards."""
+    rebuilt = repos.select("repo").distinct()
+    rest = old.join(rebuilt, "repo", "left_anti").select(*EDGE.names)
+    return rest.unionByName(conform(new.join(rebuilt, "repo", "left_semi"), EDGE))
+
 
-def write_edges(edges: DataFrame, path: str) -> None:
-    """Replaces the edges of the repositories in df, leaving those of others: one Parquet partition a repository."""
-    edges.repartition("repo").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("repo").parquet(path)
+def write_edges(edges: DataFrame, path: str, repos: DataFrame) -> None:
+    """Replaces the edges of the rebuilt repositories (repo) by those of df, whether or not df has any for them; others stay. One
+    snapshot partitioned by repository, rows of a repository dealt over tasks by their symbol."""
+    spark = edges.sparkSession
+    table = Snapshots(spark, path, ("repo",))
+    every = replaced_edges(table.read(EDGE), edges, repos)
+    table.write(every.repartition("repo", F.pmod(F.xxhash64("from_symbol"), F.lit(16))))

@@ -10,7 +10,7 @@ from siltstone.operators.graph import symbol_context
 from siltstone.operators.search import LIMIT, search
 from siltstone.schema import SOURCE_TYPES
 
-#: Sections of a neighbourhood, in the order in which they are shown.
+#: Fixed values, as are the texts below that clients read: sections of a neighbourhood, in the order in which they are shown.
 SECTIONS = {"calls": "Calls", "calledBy": "Called by", "extends": "Extends", "extendedBy": "Extended by", "implements": "Implements", "implementedBy": "Implemented by", "imports": "Imports", "importedBy": "Imported by"}
 MOST = 20
 

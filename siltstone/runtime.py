@@ -1,10 +1,11 @@
-"""What a session needs so that executors can import this package."""
+"""What a session needs so that executors can import this package, and lineage cut in the folder that all machines share."""
 
 from __future__ import annotations
 
+import tempfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 ROOT = str(Path(__file__).resolve().parent.parent)
 
@@ -17,3 +18,15 @@ def importable(spark: SparkSession) -> SparkSession:
     if ROOT not in paths:
         env["PYTHONPATH"] = ":".join(filter(None, [*paths, ROOT]))
     return spark
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """df computed once and kept under spark.checkpoint.dir. A local session without one gets a folder of its own; elsewhere
+    that is an error."""
+    context = df.sparkSession.sparkContext
+    if context._jsc.sc().getCheckpointDir().isEmpty():
+        found = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not found and (not context.master.startswith("local") or context.master.startswith("local-cluster")):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        context.setCheckpointDir(found or tempfile.mkdtemp(prefix="siltstone-"))
+    return df.checkpoint()

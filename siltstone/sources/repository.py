@@ -1,7 +1,9 @@
 """spark.read.format("siltstone_repository"): a target's files as raw documents.
 
 The driver lists paths; each partition fetches a group of them. Options: target, ref, token, email,
-base, groups (partitions, 2 by default, as providers limit how much is asked at once).
+base, groups (partitions, 2 by default, as providers limit how much is asked at once). A file that fails to
+fetch is a row with a fetch_error, one that the provider has no content for a row without either; a sync counts
+the one as failed and the other as skipped.
 """
 
 from __future__ import annotations
@@ -13,6 +15,7 @@ from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from siltstone.functions.paths import blob_url, content_hash, is_ingestible, language_for
@@ -21,6 +24,10 @@ from siltstone.sources import connectors
 from siltstone.sources.targets import parse_target
 
 
+#: What the source gives: raw documents, and why one could not be fetched.
+FETCHED = T.StructType([*RAW_DOCUMENT, T.StructField("fetch_error", T.StringType())])
+
+
 class Paths(InputPartition):
     def __init__(self, paths: list[str], pages: dict[str, tuple[str, str | None]], ref: str | None):
         self.paths, self.pages, self.ref = paths, pages, ref
@@ -47,13 +54,16 @@ class Reader(DataSourceReader):
         for path in partition.paths:
             try:
                 row = c.fetch(path)
+                error = None
             except Exception as e:  # one file must not end the job
                 connectors.log.warning("%s: %s", path, e)
-                continue
-            if row:
-                when = row.get("last_modified")
-                row["last_modified"] = datetime.fromisoformat(when.replace("Z", "+00:00")) if when else None
-                yield tuple(row.get(f.name, [] if f.name == "labels" else None) for f in RAW_DOCUMENT)
+                row, error = None, f"{type(e).__name__}: {e}"[:500]
+            if row is None:
+                row = {"source_id": f"{c.provider}:{c.target.name}:{path}", "repo": c.target.name, "provider": c.provider, "source_type": "confluence" if c.provider == "confluence" else "code", "file_path": path}
+            when = row.get("last_modified")
+            row["last_modified"] = datetime.fromisoformat(when.replace("Z", "+00:00")) if when else None
+            row["fetch_error"] = error
+            yield tuple(row.get(f.name, [] if f.name == "labels" else None) for f in FETCHED)
 
 
 class Repository(DataSource):
@@ -62,7 +72,7 @@ class Repository(DataSource):
         return "siltstone_repository"
 
     def schema(self):
-        return RAW_DOCUMENT
+        return FETCHED
 
     def reader(self, schema) -> DataSourceReader:
         return Reader(dict(self.options))

@@ -7,30 +7,44 @@ from pyspark.sql import functions as F
 
 from siltstone.functions.html import markdown
 from siltstone.functions.paths import content_hash
+from siltstone.runtime import checkpointed
 from siltstone.schema import RAW_DOCUMENT, conform
 
-DEEPEST = 64
+#: Rounds of doubling at most; a path has fewer than 2 to this power of pages.
+ROUNDS = 40
 
 
-def breadcrumbs(pages: DataFrame, deepest: int = DEEPEST) -> DataFrame:
+def breadcrumbs(pages: DataFrame) -> DataFrame:
     """(id, breadcrumb) of pages (id, title, parent_id): titles from the outermost known ancestor to the page, " / " between.
-    Paths end at a missing ancestor and before an ancestor would come twice.
+    Paths end at a missing ancestor and before an ancestor would come twice, however deep the tree is.
 
-    Each round joins every open path with its parents, so it takes as many rounds as the deepest page has ancestors.
+    By doubling: each page knows the titles of its nearest 2 to the k ancestors after k rounds, a round is one join of
+    a page's path with that of the page where it ends, and the rounds grow with the logarithm of the depth. Each round is kept under
+    spark.checkpoint.dir. Null ids stay alone; a repeated id must have one parent.
     """
-    spark = pages.sparkSession
-    spark.conf.set("spark.sql.cteRecursionRowLimit", "-1")  # paths are bounded by deepest, not by rows
-    view = f"siltstone_pages_{id(pages)}"
-    pages.select(F.col("id").cast("string").alias("id"), F.col("title").cast("string").alias("title"), F.col("parent_id").cast("string").alias("parent_id")).createOrReplaceTempView(view)
-    return spark.sql(f"""
-        WITH RECURSIVE up (id, depth, next, titles, seen) MAX RECURSION LEVEL {deepest} AS (
-            SELECT id, 0, parent_id, array(title), CAST(array() AS array<string>) FROM {view}
-            UNION ALL
-            SELECT up.id, up.depth + 1, p.parent_id, array_prepend(up.titles, p.title), array_append(up.seen, p.id)
-            FROM up JOIN {view} p ON p.id = up.next WHERE NOT array_contains(up.seen, p.id)
-        )
-        SELECT id, array_join(max_by(titles, depth), ' / ') AS breadcrumb FROM up GROUP BY id
-    """)
+    base = pages.select(F.col("id").cast("string").alias("id"), F.col("title").cast("string").alias("title"), F.col("parent_id").cast("string").alias("parent_id"))
+
+    # ids: the page and the ancestors known so far, outermost first; next: the one that follows
+    paths = checkpointed(base.select("id", F.array("id").alias("ids"), F.array("title").alias("titles"), F.col("parent_id").alias("next")))
+    for _ in range(ROUNDS):
+        up = paths.filter("id is not null").dropDuplicates(["id"]).select(F.col("id").alias("next"), F.col("ids").alias("up_ids"), F.col("titles").alias("up_titles"), F.col("next").alias("up_next"))
+        joined = paths.join(up, "next", "left")
+        known = F.col("up_ids").isNotNull()
+        # the path ends before an ancestor that is there already: among the page's own, or the nearest new one, which its own path may hold twice
+        mine = F.slice("ids", F.lit(1), F.size("ids") - 1)
+        twice = lambda i: F.array_contains(mine, F.element_at("up_ids", i)) | ((i < F.size("up_ids")) & (F.element_at("up_ids", i) == F.element_at("up_ids", -1)))
+        again = F.coalesce(F.array_max(F.filter(F.sequence(F.lit(1), F.size("up_ids")), twice)), F.lit(0))
+        fresh = lambda c: F.slice(c, F.col("again") + 1, F.size("up_ids") - F.col("again"))
+        looped = F.col("again") > 0
+        paths = checkpointed(
+            joined.withColumn("again", again).select(
+                "id", F.when(known, F.concat(fresh("up_ids"), "ids")).otherwise(F.col("ids")).alias("ids"), F.when(known, F.concat(fresh("up_titles"), "titles")).otherwise(F.col("titles")).alias("titles"),
+                F.when(known & ~looped, F.col("up_next")).alias("next"),
+            )
+        )
+        if paths.filter("next is not null").isEmpty():
+            break
+    return paths.select("id", F.array_join("titles", " / ").alias("breadcrumb"))
 
 
 def raw_documents(pages: DataFrame, space: str, site: str = "", labels: DataFrame | None = None) -> DataFrame:

@@ -7,14 +7,15 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from siltstone.operators.embed import Embedder
-from siltstone.operators.store import Snapshots
+from siltstone.operators.store import Snapshots, free_name
 from siltstone.plans.ingest import run
 
 
 def newest(batch: DataFrame) -> DataFrame:
     """One row a source: the last by last_modified, then by hash."""
-    nth = F.row_number().over(W.partitionBy("source_id").orderBy(F.desc_nulls_last("last_modified"), "content_hash"))
-    return batch.withColumn("_nth", nth).filter("_nth = 1").drop("_nth")
+    nth = free_name(batch, "nth")
+    order = W.partitionBy("source_id").orderBy(F.desc_nulls_last("last_modified"), "content_hash")
+    return batch.withColumn(nth, F.row_number().over(order)).filter(F.col(nth) == 1).drop(nth)
 
 
 def start(documents: DataFrame, table: Snapshots, edges_path: str, embedder: Embedder, checkpoint: str, once: bool = False):

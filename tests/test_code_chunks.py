@@ -1,140 +1,10 @@
-"""Scanners and code chunks on files of our own that cover the cases of each language."""
-
-from siltstone.operators.code import java, python, typescript
-from siltstone.operators.code_chunks import chunk_code, scanned
-
-TSX = '''
-import Vue, { ref as makeRef } from "kit";
-import express from "express";
-import { loadCart } from "./cart";
-
-interface CartProps {
-  onPaid: (total: number) => void;
-}
-
-/** Keeps the cart. */
-export function useCart(onPaid: (total: number) => void) {
-  const [cart, setCart] = makeRef<string | null>(null);
-  const rate = /[)/]+/.test("a)/b") ? 1 : 2;
-  function pay() { onPaid(loadCart(cart).sum(rate)); }
-  return { cart, setCart, pay };
-}
-
-export const CartView: Kit.FC<CartProps> = ({ onPaid }) => {
-  const { cart, pay } = useCart(onPaid);
-  return (
-    <div title="a > b">
-      {cart.map((c) => <Line key={c} text={label(c)} />)}
-      <p>don't {pay}</p>
-    </div>
-  );
-};
-
-class Store<T> extends Base<T> implements Saver, Reader<T> {
-  save(x: T): void { this.put(x); }
-}
-abstract class Hidden { run() {} }
-enum Kind { A, B }
-type Id = string | number;
-const LIMIT = 3, twice = (n) => n * LIMIT
-var old = function () {}
-
-// stores an order
-async function addOrder(req, res) {
-  const made = new Order(req.body);
-  res.status(201).json(await made.save(`n ${count(made)}`));
-}
-
-const api = express();
-api.get("/orders/:id", async (req, res) => { res.json(find(req)); });
-const side = express.Router();
-side.post("/orders", check, addOrder);
-other.get("/no", addOrder);
-'''
-
-JAVA = '''
-package com.shop.cart;
-
-import static java.lang.Math.max;
-import java.util.*;
-import com.shop.Price;
-
-/* license */
-@Service
-public class Cart extends Base<Item> implements Saver<Item>, Reader {
-    private final Map<String, List<Item>> items = new HashMap<>();
-    static { init(); }
-
-    public Cart(Price p) { this.p = p; }
-
-    /** One item. */
-    @GetMapping("/items/{id}")
-    public Item one(@Path String id) { return store.find(id).orElse(new Item(max(1, 2))); }
-
-    // not a block comment
-    private <T> boolean ok(T t) throws IOException {
-        if (t == null) { return false; }
-        Runnable r = new Runnable() { public void run() { work(); } };
-        return "}{".equals(t.toString());
-    }
-
-    abstract void later();
-    class Inner { void no() {} }
-}
-
-record Point(int x, int y) { Point { check(x); } }
-enum Color { RED("r") { void f() {} }, BLUE("b"); private final String s; Color(String s) { this.s = s; } String code() { return s; } }
-interface Empty {}
-'''
-
-PYTHON = '''
-import os.path, numpy as np
-from flask import Flask
-from bottle import get, post as send
-from . import base
-
-site = Flask(__name__)
-
-
-@site.route("/pay", methods=["post", "put"])
-@log
-def pay(cart):
-    """Pays."""
-    return total(cart).round(rate(cart))
-
-
-@get("/up")
-async def up():
-    return inner()
+"""Scanners and code chunks on the sample files, which hold the cases of each language, and on files of special shapes."""
 
+import time
 
-@send("/no")
-def plain(): pass
-
-
-@require_POST
-def drop(request):
-    return f"{name(request)}"
-
-
-class Order(models.Model, metaclass=Meta):
-    number = IntegerField(max(1, 2))
-
-
-@register
-class OrderView(View):
-    kind = 1
-
-    @property
-    def _total(self):
-        "one" "two"
-        return self.sum()
-
-    async def get(self): return 1
-
-    class Nested:
-        def no(self): pass
-'''
+from siltstone.operators.code import java, python, typescript
+from siltstone.operators.code_chunks import chunk_code, found_array, line_starts, scanned
+from siltstone.samples import BARE, BROKEN, JAVA, PYTHON, SCRIPT
 
 
 def by_name(found):
@@ -146,73 +16,101 @@ def lines(source, s):
 
 
 def test_typescript():
-    found = typescript.scan(TSX)
+    found = typescript.scan(SCRIPT)
     s = by_name(found)
-    assert found.imports == ["Vue", "ref", "makeRef", "express", "loadCart"]
-    assert list(s) == ["CartProps", "useCart", "CartView", "Store", "Id", "twice", "addOrder", "GET /orders/:id"]
-    assert [x.kind for x in s.values()] == ["interface", "function", "component", "class", "type", "function", "endpoint", "endpoint"]
-    assert s["useCart"].markers == ["react-hook"] and s["useCart"].exported and s["useCart"].comment == "/** Keeps the cart. */"
-    assert s["useCart"].calls == ["makeRef", "test", "onPaid", "sum", "loadCart"]
-    assert s["CartView"].markers == ["react-component"] and s["CartView"].calls == ["useCart", "map", "label"]
-    assert s["Store"].extends == ["Base"] and s["Store"].implements == ["Saver", "Reader"] and s["Store"].calls == ["put"]
-    assert s["addOrder"].markers == ["express-route"] and s["addOrder"].route == "POST /orders" and s["addOrder"].comment == "// stores an order"
-    assert s["addOrder"].calls == ["json", "status", "save", "count"]
-    assert s["GET /orders/:id"].calls == ["get", "json", "find"]
-    assert lines(TSX, s["CartView"]) == (18, 26)
+    assert found.imports == ["Ledger", "clock", "defaults", "pick", "choose"]
+    assert list(s) == ["Amount", "Entry", "useTotals", "Line", "round", "saveEntry", "DELETE /entries/:id"]
+    assert [x.kind for x in s.values()] == ["type", "interface", "function", "component", "function", "endpoint", "endpoint"]
+    assert s["Entry"].exported and not s["Amount"].exported and s["Line"].exported and not s["useTotals"].exported
+    assert s["useTotals"].markers == ["react-hook"] and s["useTotals"].calls == ["choose", "now", "total"]
+    assert s["Line"].markers == ["react-component"] and s["Line"].comment == "// one line of the book" and s["Line"].calls == ["useTotals", "mark", "format"]
+    assert s["saveEntry"].route == "PUT /entries" and s["saveEntry"].markers == ["express-route"] and s["saveEntry"].calls == ["valid", "put"]
+    assert s["DELETE /entries/:id"].calls == ["delete", "then", "drop", "sendStatus"] and not s["DELETE /entries/:id"].exported
+    assert lines(SCRIPT, s["useTotals"]) == (17, 20) and lines(SCRIPT, s["Line"]) == (23, 26)
+
+
+def test_typescript_shapes():
+    found = by_name(typescript.scan("class Till<T> extends Box<T> implements Holds, Shuts<T> {\n  put(x: T): void { this.keep(x); }\n}\nconst a = (x) => x, B = () => <p>{go()}</p>;\nvar old = function () {};\nfunction* many() {}\n"))
+    assert list(found) == ["Till", "a", "B"] and found["Till"].extends == ["Box"] and found["Till"].implements == ["Holds", "Shuts"] and found["Till"].calls == ["keep"]
+    assert found["B"].kind == "component" and found["B"].calls == ["go"]
 
 
 def test_java():
     found = java.scan(JAVA)
     s = by_name(found)
-    assert found.package == "com.shop.cart" and found.imports == ["max", "Price"]
-    assert list(s) == ["Cart.Cart", "Cart.one", "Cart.ok", "Cart.later", "Point.Point", "Color.Color", "Color.code", "Empty"]
-    assert s["Cart.one"].kind == "endpoint" and s["Cart.one"].markers == ["spring-service", "spring-endpoint"] and s["Cart.one"].comment == "/** One item. */"
-    assert s["Cart.one"].calls == ["orElse", "find", "max"]
-    assert not s["Cart.ok"].exported and s["Cart.ok"].comment == "" and s["Cart.ok"].calls == ["work", "equals", "toString"]
-    assert s["Cart.Cart"].extends == ["Base"] and s["Cart.Cart"].implements == ["Saver", "Reader"]
-    assert s["Empty"].kind == "interface" and s["Point.Point"].extends == []
+    assert found.package == "org.ledger" and found.imports == ["Clock", "add"]
+    assert list(s) == ["Ledger.Ledger", "Ledger.sum", "Ledger.log", "Entries.byId", "Side", "Pair.both"]
+    assert s["Ledger.sum"].kind == "endpoint" and s["Ledger.sum"].markers == ["spring-controller", "spring-endpoint"] and s["Ledger.sum"].comment == "/** All of it. */"
+    assert s["Ledger.sum"].calls == ["reduce", "map", "stream", "weigh", "add"] and s["Ledger.sum"].exported
+    assert not s["Ledger.log"].exported and s["Ledger.log"].calls == ["println", "trim"]
+    assert s["Ledger.Ledger"].extends == ["Shelf"] and s["Ledger.Ledger"].implements == ["Countable", "Iterable"] and s["Ledger.Ledger"].calls == ["check"]
+    assert s["Side"].kind == "class" and s["Pair.both"].kind == "method" and s["Entries.byId"].signature.startswith("@Repository")
 
 
 def test_python():
     found = python.scan(PYTHON)
     s = by_name(found)
-    assert found.imports == ["path", "np", "Flask", "get", "send", "base"]
-    assert list(s) == ["pay", "up", "plain", "drop", "Order", "OrderView._total", "OrderView.get"]
-    assert s["pay"].route == "POST/PUT /pay" and s["pay"].markers == ["flask-endpoint"] and s["pay"].notes == '"""Pays."""'
-    assert s["pay"].calls == ["round", "total", "rate"] and lines(PYTHON, s["pay"]) == (10, 14)
-    assert s["up"].markers == ["bottle-endpoint"] and s["plain"].kind == "function"
-    assert s["drop"].route == "POST" and s["drop"].calls == ["name"]
-    assert s["Order"].extends == ["Model", "metaclass=Meta"] and s["Order"].markers == ["django-model"] and s["Order"].kind == "class"
-    assert s["OrderView._total"].markers == ["django-view"] and not s["OrderView._total"].exported and s["OrderView._total"].notes == "" and s["OrderView._total"].indent == 4
-    assert s["OrderView.get"].signature == "class OrderView(View):"
+    assert found.imports == ["clock", "sums", "APIRouter", "route", "models"]
+    assert list(s) == ["entry", "total", "change", "_round", "Entry", "EntryView.get", "EntryView._key"]
+    assert s["entry"].route == "GET /entries/{id}" and s["entry"].markers == ["fastapi-endpoint"] and s["entry"].notes == '"""One entry."""'
+    assert s["entry"].calls == ["first", "find", "weigh"] and lines(PYTHON, s["entry"]) == (10, 13)
+    assert s["total"].markers == ["bottle-endpoint"] and s["total"].route == "POST /sum" and s["change"].route == "PUT/PATCH" and s["change"].markers == ["django-endpoint"]
+    assert not s["_round"].exported and s["_round"].calls == ["floor", "inner"]
+    assert s["Entry"].extends == ["Model"] and s["Entry"].markers == ["django-model"] and s["Entry"].kind == "class" and s["Entry"].calls == ["field", "max"]
+    assert s["EntryView.get"].signature == "class EntryView(APIView, Countable):" and s["EntryView.get"].markers == ["django-view"] and not s["EntryView._key"].exported and s["EntryView._key"].indent == 4
+
+
+def test_python_shapes():
+    found = by_name(python.scan('from . import base\nsite = Flask(__name__)\n\n@site.route("/p", methods=["post", "put"])\n@log\ndef p():\n    "one" "two"\n    return f"{name(1)}"\n\nclass A(B, metaclass=M):\n    x = 1\n'))
+    assert found["p"].route == "POST/PUT /p" and found["p"].notes == "" and found["p"].calls == ["name"] and found["A"].extends == ["B", "metaclass=M"]
 
 
 def test_invalid_python_falls_back():
-    found = python.scan("import a.b\n\ndef f(x:\n    g(x)\n\nclass C:\n    y = 1\nz = (\n")
-    assert [s.name for s in found.symbols] == ["f", "C"] and found.imports == ["b"]
+    assert [s.name for s in python.scan(BROKEN).symbols] == ["ok", "Half"]
 
 
 def test_scanner_failure_is_a_message(monkeypatch):
     from siltstone.operators import code_chunks
 
     monkeypatch.setitem(code_chunks.SCANNERS, "java", lambda _: 1 / 0)
-    assert "ZeroDivisionError" in scanned("class A {}", "java", "A.java")["error"]
+    found, error = scanned("class A {}", "java", "A.java")
+    assert found.symbols == [] and "ZeroDivisionError" in error
+    (row,) = found_array(["class A {}"], ["java"], ["A.java"]).to_pylist()
+    assert row["error"] == error and [s["body"] for s in row["symbols"]] == ["class A {}"]
+
+
+def test_lines_are_found_in_linear_time():
+    assert line_starts("a\n\nb") == [0, 2, 3]
+
+    def seconds(n):
+        source = "".join(f"def f{i}(x):\n    return g{i}(x)\n\n\n" for i in range(n))
+        began = time.perf_counter()
+        (row,) = found_array([source], ["python"], ["a.py"]).to_pylist()
+        assert len(row["symbols"]) == n and row["symbols"][-1]["start_line"] == 4 * n - 3
+        return time.perf_counter() - began
+
+    seconds(100)
+    assert seconds(8000) < 16 * seconds(1000)
 
 
 def test_chunks(spark):
     rows = [
         ("github:o/r:a.py", PYTHON, "o/r", "a.py", "python", "https://github.com/o/r/blob/main/a.py", "h1"),
-        ("github:o/r:b.ts", "export * from './x';\n", "o/r", "b.ts", "typescript", "u", "h2"),
+        ("github:o/r:b.ts", BARE, "o/r", "b.ts", "typescript", "u", "h2"),
         ("github:o/r:c.java", None, "o/r", "c.java", "java", None, "h3"),
     ]
     docs = spark.createDataFrame(rows, "source_id string, content string, repo string, file_path string, language string, url string, content_hash string")
-    got = chunk_code(docs).collect()
+    chunks = chunk_code(docs)
+    got = chunks.collect()
     assert len({r.chunk_id for r in got}) == len(got) == 8 and all(len(r.chunk_id) == 24 and r.error is None for r in got)
-    total = next(r for r in got if r.symbol_name == "OrderView._total")
-    assert total.display_content.startswith("    @property\n    def _total") and total.url.endswith(f"#L{total.start_line}-L{total.end_line}")
-    assert total.content.startswith("File: a.py\n\nImports:\nimport os.path") and "\n\nClass: class OrderView(View):" in total.content
-    pay = next(r for r in got if r.symbol_name == "pay")
-    assert "\n\nRoute: POST/PUT /pay\n\n" in pay.content and "\n\n\"\"\"Pays.\"\"\"\n\n@site.route" in pay.content
+    key = next(r for r in got if r.symbol_name == "EntryView._key")
+    assert key.display_content.startswith("    def _key") and key.url.endswith(f"#L{key.start_line}-L{key.end_line}")
+    assert key.content.startswith("File: a.py\n\nImports:\nimport clock") and "\n\nClass: class EntryView(APIView, Countable):" in key.content
+    entry = next(r for r in got if r.symbol_name == "entry")
+    assert "\n\nRoute: GET /entries/{id}\n\n" in entry.content and '\n\n"""One entry."""\n\n@api.get' in entry.content
     whole = next(r for r in got if r.symbol_name is None)
     assert (whole.symbol_type, whole.start_line, whole.end_line, whole.url, whole.exported) == ("other", 1, 2, "u", False)
-    assert whole.content == "File: b.ts\n\nexport * from './x';\n"
+    assert whole.content == f"File: b.ts\n\n{BARE}" and whole.display_content == BARE
+    plan = chunks._jdf.queryExecution().optimizedPlan().toString()
+    generate = next(x for x in plan.splitlines() if "Generate explode" in x)
+    assert "content#" not in generate.split("Generate", 1)[1]

@@ -135,15 +135,65 @@ def test_snapshots(spark, tmp_path):
     table.write(one)
     table.write(store.merge_chunks(table.read(), chunk_rows(spark, ("b1", "b", "h", "x", "u"))))
     assert {r.chunk_id for r in table.read().collect()} == {"a1", "b1"}
+    old = table.read()
+    begun = tmp_path / "t" / f"snapshot-{9:012d}-{'0' * 32}"  # a writer that ended half-way
+    begun.mkdir()
+    (begun / "part-0.parquet").write_bytes(b"half")
+    assert {r.chunk_id for r in table.read().collect()} == {"a1", "b1"}
+    table.write(store.merge_chunks(table.read(), chunk_rows(spark, ("c1", "c", "h", "x", "u"))))
+    assert table.read().count() == 3 and old.count() == 2 and len(table.complete()) == 3  # who began with the old one still has it
+    table.tidy(1)
+    assert table.read().count() == 3 and len(table.complete()) == 1
+    with pytest.raises(Exception, match="boom"):
+        table.write(table.read().withColumn("chunk_id", F.raise_error(F.lit("boom")).cast("string")))
+    assert table.read().count() == 3
+
+
+def test_columns_of_callers_stay(spark):
+    old = store.merge_chunks(chunk_rows(spark).filter("false"), chunk_rows(spark, ("a1", "a", "h1", "x", "u1")))
+    named = chunk_rows(spark, ("a1", "a", "h", "x", "u"), ("a1", "a", "h", "y", "u")).withColumn("nth", F.lit(7))
+    assert [r.nth for r in store.latest(named).collect()] == [7]
+    held = old.withColumn("touched", F.lit(1)).withColumn("stays", F.lit(2))
+    (row,) = store.prune_stale(held, held.filter("false"), held).collect()
+    assert (row.touched, row.stays) == (1, 2)
+
+
+def test_search_layout_finds_the_same(spark, tmp_path):
+    from siltstone.operators import index
+
+    rng = random.Random(4)
+    words = ["alpha", "beta", "gamma", "delta", "the", "of"]
+    rows = [(f"c{i:03}", " ".join(rng.choice(words) for _ in range(rng.randint(0, 30))), [rng.gauss(i % 5, 0.3) for _ in range(6)] if i % 7 else None) for i in range(300)]
+    chunks = spark.createDataFrame(rows, "chunk_id string, display_content string, embedding array<float>")
+    at = str(tmp_path / "i")
+    index.write(chunks, at)
+    held, stats = spark.read.parquet(f"{at}/postings"), spark.read.parquet(f"{at}/statistics")
+    plain = lambda df, score: [(r.id, round(r[score], 9), r["rank"]) for r in df.orderBy("rank").collect()]
+    for q in ("alpha of beta", "gamma", "the", "alpha nowhere", ""):
+        assert plain(index.lexical_topk(held, stats, q), "score") == plain(search.lexical_topk(chunks, q), "score")
+    centres = index.centres(chunks, 8)
+    celled = index.celled(chunks, centres).cache()
+    radius = index.radii(celled, centres)
+    for _ in range(5):
+        v = [rng.gauss(2, 2) for _ in range(6)]
+        assert plain(index.dense_topk(celled, centres, radius, v, 10), "distance") == plain(search.dense_topk(chunks, v, 10), "distance")
+    plan = index.lexical_topk(held, stats, "gamma")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "bucket" in plan
 
 
 def test_edges_are_replaced_by_repository(spark, tmp_path):
     at = str(tmp_path / "e")
     edges = graph.resolve_edges(symbols(spark))
-    store.write_edges(edges, at)
-    other = edges.limit(1).withColumn("repo", F.lit("q"))
-    store.write_edges(other, at)
-    assert {r["repo"]: r["count"] for r in spark.read.parquet(at).groupBy("repo").count().collect()} == {"r": 4, "q": 1}
+    repos = lambda *names: spark.createDataFrame([(n,) for n in names], "repo string")
+    count = lambda: {r["repo"]: r["count"] for r in store.edges_of(spark, at).groupBy("repo").count().collect()}
+    assert count() == {}
+    store.write_edges(edges, at, repos("r", "s"))
+    store.write_edges(edges.limit(1).withColumn("repo", F.lit("q")), at, repos("q"))
+    assert count() == {"r": 4, "q": 1}
+    store.write_edges(edges.filter("false"), at, repos("r"))  # it resolves to no edge any more
+    assert count() == {"q": 1}
+    store.write_edges(edges, at, repos("none"))  # edges of others than the rebuilt ones are not taken
+    assert count() == {"q": 1}
 
 
 def test_paths(spark):

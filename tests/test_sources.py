@@ -7,7 +7,7 @@ import pytest
 
 from siltstone.functions.html import to_markdown
 from siltstone.operators import embed
-from siltstone.operators.store import Snapshots
+from siltstone.operators.store import Snapshots, edges_of
 from siltstone.plans import ingest, tools
 from siltstone.sources import connectors
 from siltstone.sources.repository import read_checkout, register
@@ -80,6 +80,23 @@ def test_breadcrumbs_end_at_missing_and_cycles(spark):
     assert {r.id: r.breadcrumb for r in breadcrumbs(pages).collect()} == {"1": "A", "2": "A / B", "3": "A / B / C", "4": "D", "5": "E / F / E", "6": "F / E / F"}
 
 
+def test_breadcrumbs_of_any_depth(spark):
+    """Against walking up, with cycles that pages hang on."""
+    parent = {i: i - 1 for i in range(1, 201)} | {300: 303, 301: 300, 302: 301, 303: 302, 304: 301, 305: 304, 306: 306, 307: 306, 400: 999}
+    pages = spark.createDataFrame([(str(i), f"t{i}", None if p is None else str(p)) for i, p in ({0: None} | parent).items()], "id string, title string, parent_id string")
+    want = {}
+    for i in {0: None} | parent:
+        path, seen, at = [i], set(), parent.get(i)
+        while at is not None and at not in seen and (at in parent or at == 0):
+            seen.add(at)
+            path.append(at)
+            at = parent.get(at)
+        want[str(i)] = " / ".join(f"t{x}" for x in reversed(path))
+    before = spark.conf.get("spark.sql.cteRecursionRowLimit")
+    assert {r.id: r.breadcrumb for r in breadcrumbs(pages).collect()} == want and want["200"].count("/") == 200
+    assert spark.conf.get("spark.sql.cteRecursionRowLimit") == before
+
+
 def test_wiki_table(spark):
     pages = spark.createDataFrame([("1", "A", "current", None, "2024-01-02T03:04:05Z", "<p>x</p>", "/1"), ("2", "B", "archived", "1", None, None, None)], "id string, title string, status string, parent_id string, created_at string, html string, webui string")
     labels = spark.createDataFrame([("1", "z"), ("1", "y")], "page_id string, name string")
@@ -154,9 +171,9 @@ def test_sync_from_end_to_end(spark, tmp_path):
     assert found.startswith("1. [score 0.0") and "one.py :: load (function)\nhttps://github.com/o/r/blob/main/one.py#L1-L2\n```\ndef load(x):" in found
     assert tools.search_code(stored, embedder, "load", limit=99).startswith("search_code failed: limit")
     assert tools.search_code(stored, embedder, "x", repo="none") == "No matching code found."
-    told = tools.get_symbol_context(spark.read.parquet(edges), stored, "load", "o/r")
+    told = tools.get_symbol_context(edges_of(spark, edges), stored, "load", "o/r")
     assert told.startswith('Symbol graph for "load" in o/r (matched: o/r:one.py:load)\n\nCalls:\n- two.py :: save\n') and told.endswith("```")
-    assert tools.get_symbol_context(spark.read.parquet(edges), stored, "nope", "o/r") == 'No symbol matching "nope" found in the symbol graph for o/r.'
+    assert tools.get_symbol_context(edges_of(spark, edges), stored, "nope", "o/r") == 'No symbol matching "nope" found in the symbol graph for o/r.'
 
 
 def test_failed_source_loses_its_chunks(spark, tmp_path):
@@ -169,6 +186,44 @@ def test_failed_source_loses_its_chunks(spark, tmp_path):
     assert table.read().count() == 0
 
 
+def test_files_that_cannot_be_fetched(spark, tmp_path):
+    """A failed fetch is counted as failed, no content as skipped; what is stored of them stays."""
+    from pyspark.sql import functions as F
+
+    from siltstone.sources.repository import FETCHED, Reader
+
+    table, edges, embedder = Snapshots(spark, f"file://{tmp_path}/chunks"), f"file://{tmp_path}/edges", embed.HashEmbedder(4)
+    docs = files(spark, tmp_path, one="def a():\n    return b()\n", two="def b():\n    pass\n", three="def c():\n    pass\n")
+    assert ingest.run(docs, table, edges, embedder)["indexed"] == 3 and edges_of(spark, edges).count() == 1
+    path = F.col("file_path")
+    lost = docs.withColumn("fetch_error", F.when(path == "one.py", "OSError: 500")).withColumn("content", F.when(path == "three.py", F.lit("def d():\n    pass\n"))).withColumn("content_hash", F.sha2("content", 256))
+    assert ingest.run(lost, table, edges, embedder) == {"indexed": 1, "skipped": 1, "failed": 1}
+    assert {r.symbol_name for r in table.read().collect()} == {"a", "b", "d"}
+
+    class Failing(Reader):
+        def _connector(self, ref=None):
+            def fetch(path):
+                if path == "bad.py":
+                    raise OSError("500")
+                return None if path == "none.py" else {"source_id": path, "content": "x", "last_modified": "2024-05-01T00:00:00Z"}
+
+            from types import SimpleNamespace
+
+            return SimpleNamespace(list=lambda: ["bad.py", "none.py", "ok.py"], ref="main", fetch=fetch, provider="github", target=parse_target("o/r"))
+
+    reader = Failing({"target": "o/r"})
+    rows = [dict(zip(FETCHED.names, r, strict=True)) for part in reader.partitions() for r in reader.read(part)]
+    assert {r["source_id"]: (r["content"], r["fetch_error"]) for r in rows} == {"github:o/r:bad.py": (None, "OSError: 500"), "github:o/r:none.py": (None, None), "ok.py": ("x", None)}
+
+
+def test_a_lost_repository_keeps_no_edge(spark, tmp_path):
+    table, edges, embedder = Snapshots(spark, f"file://{tmp_path}/chunks"), f"file://{tmp_path}/edges", embed.HashEmbedder(4)
+    ingest.run(files(spark, tmp_path, one="def a():\n    return b()\n", two="def b():\n    pass\n"), table, edges, embedder)
+    assert edges_of(spark, edges).count() == 1
+    ingest.run(files(spark, tmp_path, one="def a():\n    return 1\n"), table, edges, embedder)
+    assert edges_of(spark, edges).count() == 0
+
+
 def test_stream(spark, tmp_path):
     from siltstone.schema import RAW_DOCUMENT
 
