@@ -178,7 +178,7 @@ def test_a_hot_junk_source_is_rejected(make):
 
 
 def test_labelled_documents(spark):
-    """Rejects low quality and keeps good documents of the tables; the thresholds were not fitted to these labels."""
+    """Rejects low quality and keeps good documents of the tables. Units and thresholds were chosen on labels of sf0.1, made by the same generator."""
     sf = "/root/testdata/sf0.01"
     got = perplexity.quality_rules(spark.read.parquet(f"{sf}/documents.parquet")).filter("not base_failed").join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").collect()
     low, good = ([r.kept for r in got if r.quality == q] for q in (0, 1))
