@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltstone.llm.shared import settled
+from siltstone.llm.shared import dropped, settled
 
 
 def _size(edges: DataFrame) -> tuple:
@@ -32,7 +32,8 @@ def components(edges: DataFrame) -> DataFrame:
         large = settled(large.unionByName(edges.join(least.withColumnRenamed("a", "k"), F.col("a") == F.col("k")).select("a", F.col("m").alias("b")).filter("a <> b")).distinct(), "large")
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").select(F.explode(F.array(F.struct(F.col("a"), F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e")).select("e.a", "e.b")
-        edges = settled(small.filter("a <> b").distinct(), "edges")
+        old, edges = edges, settled(small.filter("a <> b").distinct(), "edges")
+        dropped(old, large)
         before, size = size, _size(edges)
         if before == size:
             break

@@ -7,6 +7,7 @@ import ctypes
 import sys
 import tempfile
 import uuid
+import weakref
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -20,7 +21,11 @@ BATCH_BYTES = 4 << 20
 #: Batches after which a task gives unused memory back.
 TRIM_EVERY = 16
 
+#: Spark's setting by which a query's shuffle files go when it ends, rather than when the driver collects its garbage.
+TIDY_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 _written: list[tuple[SparkSession, str]] = []
+_paths: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -64,10 +69,27 @@ def _clean() -> None:
 
 def settled(df: DataFrame, name: str) -> DataFrame:
     """df written once as Parquet in the shared folder and read again: lineage ends here, a lost
-    executor costs no recomputation, and the planner sees the true size."""
-    path = fresh_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    executor costs no recomputation, the planner sees the true size, and the shuffle files of the
+    write go with its end."""
+    spark = df.sparkSession
+    path, before = fresh_path(spark, name), spark.conf.get(TIDY_SHUFFLES)
+    spark.conf.set(TIDY_SHUFFLES, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(TIDY_SHUFFLES, before)
+    out = spark.read.schema(df.schema).parquet(path)
+    _paths[out] = path
+    return out
+
+
+def dropped(*frames: DataFrame) -> None:
+    """Removes what settled() wrote for these frames; nothing may read them, or what was made of them, afterwards."""
+    for df in frames:
+        path = _paths.pop(df, None)
+        if path:
+            drop_path(df.sparkSession, path)
+            _written.remove((df.sparkSession, path))
 
 
 def utf8_size(text: str | None) -> int:
