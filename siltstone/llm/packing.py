@@ -25,7 +25,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from siltstone.llm.shared import by_bytes, settled, table, trimmed
-from siltstone.llm.tokenizing import encoder
+from siltstone.llm.tokenizing import CACHE_ENTRIES, encoder
 
 #: A length's pieces are ranked in parts of about this many rows at most, and in RANK_PARTS parts at least.
 PART_ROWS, RANK_PARTS = 500_000, 64
@@ -120,11 +120,11 @@ def layout(groups: list[Group], capacity: int) -> Layout:
     return Layout(cells[:, 0].copy(), cells[:, 1:].copy(), edges.astype(np.int64), exact)
 
 
-def natural_pieces(df: DataFrame, tokenizer: str, end_id: int, capacity: int, id_col: str, text_col: str) -> DataFrame:
+def natural_pieces(df: DataFrame, tokenizer: str, end_id: int, capacity: int, id_col: str, text_col: str, entries: int = CACHE_ENTRIES) -> DataFrame:
     """Each document's whole windows and its remainder, with the CRC-32 of their ids."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, end = encoder(tokenizer), end_id.to_bytes(4, "little")
+        enc, end = encoder(tokenizer, entries), end_id.to_bytes(4, "little")
         for batch in batches:
             texts, names = batch.column("text").to_pylist(), batch.column("id").to_pylist()
             for a, b in by_bytes(texts):
@@ -173,18 +173,18 @@ def place(ranked: DataFrame, lay: Layout) -> DataFrame:
     return ranked.mapInArrow(run, NATURAL_SQL + ", sequence_id long, offset long")
 
 
-def pack(df: DataFrame, tokenizer: str, end_id: int = 2, capacity: int = 4096, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def pack(df: DataFrame, tokenizer: str, end_id: int = 2, capacity: int = 4096, id_col: str = "doc_id", text_col: str = "text", entries: int = CACHE_ENTRIES) -> DataFrame:
     """Packs every row of df into sequences of at most `capacity` ids (at most 65,536): one row a piece with
     id_col, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
     Null and empty texts are a document of end_id alone. Null ids stay null; repeated rows are packed
     each; an empty table gives no rows; other columns are not read. A very long text gives many whole
-    windows. Ties between pieces of a length go by id, then start. Shuffles only piece rows (no text);
+    windows; `entries` bounds an encoder's caches, not what it finds. Ties between pieces of a length go by id, then start. Shuffles only piece rows (no text);
     documents that get cut are encoded again, found by a join on the id.
     """
     if not 0 < capacity <= 65_536:
         raise ValueError("capacity must be from 1 to 65536")
-    pieces = settled(natural_pieces(df, tokenizer, end_id, capacity, id_col, text_col), "pieces")
+    pieces = settled(natural_pieces(df, tokenizer, end_id, capacity, id_col, text_col, entries), "pieces")
     counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}  # at most `capacity` rows
     parts = max(RANK_PARTS, -(-sum(counts.values()) // PART_ROWS))
     pieces = pieces.withColumn("part", F.pmod(F.xxhash64("id", "start", "doc_crc"), F.lit(parts)))
@@ -201,7 +201,7 @@ def pack(df: DataFrame, tokenizer: str, end_id: int = 2, capacity: int = 4096, i
     wanted = settled(cut.groupBy("id", "doc_tokens", "doc_crc").agg(spans), "cut")  # of known size: texts are shuffled only where it is large
 
     def again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, end = encoder(tokenizer), end_id.to_bytes(4, "little")
+        enc, end = encoder(tokenizer, entries), end_id.to_bytes(4, "little")
         for batch in batches:
             rows = []
             for r in batch.to_pylist():

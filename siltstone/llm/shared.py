@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import ctypes
+import gc
 import sys
 import tempfile
 import uuid
@@ -116,8 +117,7 @@ def kept(key: tuple, make: Callable):
     """What a Python worker keeps from task to task, one object at a time: another key drops what was there, so stages
     that share a worker do not add up."""
     if key not in _kept:
-        _kept.clear()
-        trimmed()
+        cleared()
         _kept[key] = make()
     return _kept[key]
 
@@ -126,6 +126,7 @@ def cleared() -> None:
     """Drops what another operator's tasks left in this Python worker. For operators that keep nothing themselves."""
     if _kept:
         _kept.clear()
+        gc.collect()  # encoders and their caches refer to each other
         trimmed()
 
 
