@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import weakref
 import zlib
 from collections import Counter
 
@@ -11,8 +12,8 @@ from tokenizers import Tokenizer
 
 from siltstone.llm import chunk_reuse, classifier, language_id, packing, token_counts
 from siltstone.llm.entries import tokenizer_path
-from siltstone.llm.shared import by_bytes, mixed, run_hashes, word_hashes
-from siltstone.llm.tokenizing import PieceEncoder
+from siltstone.llm.shared import by_bytes, cleared, kept, mixed, run_hashes, word_hashes
+from siltstone.llm.tokenizing import PieceEncoder, encoder
 
 BYTE, WORD = tokenizer_path("byte_bpe_50k.json"), tokenizer_path("word_bpe_49k.json")
 ODD = ["", " ", "\n\n  a  b \t c  d", "<|endoftext|>a <|endoftext|> b<|startoftext|>c", "it's we'RE ½ ² x́ é İstanbul ΣΑΣ 日本語 テスト　全角", "!!\x1c\x1d a\x1c b", "a b   c", "😀 👍🏽 don't \r\n\r\n x ", "  lead", "trail  ", "q" * 9000, "ab cd " * 3000, "\x85 x\x85"]
@@ -142,6 +143,22 @@ def test_packing(tiny, capacity):
     assert packing.pack(tiny.filter("false"), WORD).count() == 0
 
 
+def test_workers_drop_encoders():
+    """An encoder and its caches go as soon as something else is kept, or nothing; one of few entries finds the same."""
+    texts = [*ODD, *sample()]
+    first = encoder(WORD, 5)
+    assert first.ids(texts) == first.ids(texts) == library(WORD, texts)
+    gone = weakref.ref(first)
+    assert encoder(WORD, 5) is first
+    del first
+    second = encoder(BYTE, 5)
+    assert gone() is None and second.ids(texts) == library(BYTE, texts)
+    gone = weakref.ref(second)
+    del second
+    assert kept(("other",), lambda: 7) == 7 and gone() is None
+    cleared()
+
+
 def prose(rng, n, words):
     return " ".join(rng.choice(words) for _ in range(n)) + "."
 
