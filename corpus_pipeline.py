@@ -44,8 +44,8 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """By the general rule, five-word shingles and a similarity of 0.8; op6_simhash has a contract of its own. One row of each class
-    stays, that of the smallest id; null ids come after all others."""
+    """By the general rule, five-word shingles and a similarity of 0.8; op6_simhash has a contract of its own. SimHash links are checked
+    exactly, an exact join adds those that fingerprints miss. One row of each class stays, that of the smallest id; null ids come after all others."""
     modest(docs.sparkSession)
     return near_copies.representatives(docs)
 

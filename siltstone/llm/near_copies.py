@@ -1,5 +1,8 @@
 """Near copies by the general rule: texts whose sets of five-word shingles have a Jaccard similarity
-of 0.8 or more, found exactly.
+of 0.8 or more, by SimHash with an exact check, and whole.
+
+Each set has a SimHash fingerprint; what simhash.links() connects is compared by whole sets. Alike sets may have fingerprints
+that differ in more bits than any affordable radius, so the pairs that SimHash leaves out are found by a join and checked in the same way.
 
 Two sets that are so alike share one of the first n - ceil(0.8 n) + 1 members of each in any common
 order, so every pair meets at a member of both beginnings. Shingles that many texts have come last in
@@ -18,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from siltstone.llm import simhash
 from siltstone.llm.components import components
 from siltstone.llm.shared import ODD, by_bytes, dropped, free_name, line_words, mixed, settled, table, tidy
 
@@ -33,7 +37,7 @@ PIVOTS = 1
 SKETCH, MOST_SKETCH = 1 << 10, 1 << 15
 
 COUNTS = pa.schema([("shingle", pa.int64()), ("n", pa.int64())])
-DIGESTS = pa.schema([("id", pa.int64()), ("digest", pa.int64()), ("n", pa.int64()), ("sketch", pa.binary())])
+DIGESTS = pa.schema([("id", pa.int64()), ("digest", pa.int64()), ("n", pa.int64()), ("sketch", pa.binary()), ("fp", pa.int64())])
 BEGINNINGS = pa.schema([("shingle", pa.int64()), ("digest", pa.int64()), ("n", pa.int32()), ("place", pa.int32())])
 PAIRS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 SETS = pa.schema([("digest", pa.int64()), ("members", pa.binary())])
@@ -89,14 +93,28 @@ def _sets(batch: pa.RecordBatch) -> Iterator[tuple[int, int, list[np.ndarray]]]:
 
 
 def digests(texts: DataFrame) -> DataFrame:
-    """(id, digest, n, sketch) of every row."""
+    """(id, digest, n, sketch, fp) of every row; fp is the SimHash fingerprint of the set, zero for an empty one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, b, sets in _sets(batch):
-                yield table(DIGESTS, id=batch.column("id").slice(a, b - a), digest=[digest(s) for s in sets], n=list(map(len, sets)), sketch=[sketch(s) for s in sets])
-
-    return texts.mapInArrow(tidy(run), "id long, digest long, n long, sketch binary")
+                yield table(DIGESTS, id=batch.column("id").slice(a, b - a), digest=[digest(s) for s in sets], n=list(map(len, sets)), sketch=[sketch(s) for s in sets], fp=simhash.majority(sets).view(np.int64))
+
+    return texts.mapInArrow(tidy(run), "id long, digest long, n long, sketch binary, fp long")
+
+
+def fingerprint_pairs(sketches: DataFrame, radius: int = simhash.RADIUS) -> DataFrame:
+    """Distinct pairs (a, b) of digests that SimHash connects: sets of one fingerprint with the least of them, and the
+    least ones of fingerprints that simhash.links() pairs. They grow with the sets, not with the square of a class."""
+    some = sketches.filter("n > 0").groupBy("fp").agg(F.min("digest").alias("least"), F.count("*").alias("of"))
+    some = settled(some, "fingerprints")
+    several = some.filter("of > 1").select(F.col("fp").alias("own"), "least")
+    equal = sketches.filter("n > 0").join(several, F.col("fp") == F.col("own")).select(F.col("digest").alias("x"), F.col("least").alias("y"))
+    ends = [some.select(F.col("fp").alias(k), F.col("least").alias(v)) for k, v in (("a", "x"), ("b", "y"))]
+    close = simhash.links(some.select("fp"), radius).distinct().join(ends[0], "a").join(ends[1], "b").select("x", "y")
+    out = settled(close.unionByName(equal).filter("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "simhash-pairs")
+    dropped(some)
+    return out
 
 
 def frequent(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -290,13 +308,14 @@ def classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tu
     """(id, digest) of every row of df, and (node, root) of digests as components() has them."""
     texts = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     prints = settled(digests(texts), "digests")
-    sketches = settled(prints.groupBy("digest").agg(F.any_value("n").alias("n"), F.any_value("sketch").alias("sketch")), "sketches")
+    sketches = settled(prints.groupBy("digest").agg(*(F.any_value(c).alias(c) for c in ("n", "sketch", "fp"))), "sketches")
     met = settled(shared(beginnings(texts, frequent(texts))), "shared")
-    tried = settled(first_pairs(met), "first-pairs")
+    linked = fingerprint_pairs(sketches)
+    tried = settled(linked.unionByName(first_pairs(met)).distinct(), "first-pairs")
     found = alike(texts, sketches, tried)
     near = components(found)
     more = settled(other_pairs(met, near).join(tried, ["a", "b"], "left_anti"), "other-pairs")
-    dropped(met, tried)
+    dropped(met, tried, linked)
     rest = alike(texts, sketches, more)
     dropped(more, sketches)
     return prints.select("id", "digest"), components(found.unionByName(rest))

@@ -146,6 +146,40 @@ def test_near_copies_of_the_pipeline(make):
     assert "an id twice, with another text" not in rejected and sum(r.doc_id is None for r in got) == 1
 
 
+def edited(n, base, most):
+    """n texts of base with up to `most` words of their own."""
+    rng, out = random.Random(n), []
+    for i in range(n):
+        words = list(base)
+        for p in rng.sample(range(len(words)), i % (most + 1)):
+            words[p] = f"own{i}x{p}"
+        out.append(" ".join(words))
+    return out
+
+
+def test_near_copies_are_linked_by_simhash(make, monkeypatch):
+    """The pipeline's stage takes SimHash links, and an exact check follows."""
+    import corpus_pipeline
+    from siltstone.llm import near_copies
+
+    long_ = edited(30, [f"w{i}" for i in range(900)], 2)
+    texts = [*long_, *(f"{t} {k}" for k, t in enumerate(edited(20, [f"v{i}" for i in range(40)], 3))), "a b", "A  B", "", "c d e"]
+    df = make(*enumerate(texts))
+    prints = near_copies.digests(df.select(F.col("doc_id").alias("id"), "text"))
+    pairs = near_copies.fingerprint_pairs(prints.groupBy("digest").agg(*(F.any_value(c).alias(c) for c in ("n", "sketch", "fp"))), 3).collect()
+    sets = {near_copies.digest(s): s for s in near_copies.shingle_sets(texts) if len(s)}
+    plain = {d: sum(1 << b for b in range(64) if 2 * sum(int(h) >> b & 1 for h in s) > len(s)) for d, s in sets.items()}
+    assert {r.digest: r.fp % 2**64 for r in prints.collect() if r.n} == plain
+    brute = [(a, b) for a in plain for b in plain if a < b and (plain[a] ^ plain[b]).bit_count() <= 3]
+    assert reachable(plain, [(r.a, r.b) for r in pairs]) == reachable(plain, brute) and len(brute) > 50
+    none = df.sparkSession.createDataFrame([], "a long, b long")
+    monkeypatch.setattr(near_copies, "first_pairs", lambda met: none)
+    monkeypatch.setattr(near_copies, "other_pairs", lambda met, roots: none)
+    exact = [(a, b) for a, b in ((r.a, r.b) for r in pairs) if 5 * len(np.intersect1d(sets[a], sets[b])) >= 4 * len(np.union1d(sets[a], sets[b]))]
+    got = [r.doc_id for r in corpus_pipeline.near_dedup(None, df, "").collect()]
+    assert len(got) == 1 + len(set(reachable(plain, exact).values())) and sum(i < 30 for i in got) < 15
+
+
 def signed(x):
     x &= (1 << 64) - 1
     return x - (1 << 64) if x >> 63 else x
