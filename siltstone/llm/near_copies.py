@@ -31,14 +31,18 @@ NUMERATOR, DENOMINATOR = 4, 5
 HASHED = 1 << 18
 #: A shingle is counted where this many texts of a step have it; so many of the most frequent come last.
 OFTEN, MOST_COUNTED, STEP = 8, 1 << 18, 1 << 20
-#: Members of a shingle's texts that all the others are compared with at first; other shingles have other ones.
+#: Members of a shingle's texts that all the others are compared with at first.
 PIVOTS = 1
 #: Bits of a sketch, at least and at most; two of them differ in no more bits than their sets in members.
 SKETCH, MOST_SKETCH = 1 << 10, 1 << 15
+#: Members of the largest sets whose sketches still tell sets apart when folded to SKETCH bits.
+SHORT = 1 << 11
 
 COUNTS = pa.schema([("shingle", pa.int64()), ("n", pa.int64())])
 DIGESTS = pa.schema([("id", pa.int64()), ("digest", pa.int64()), ("n", pa.int64()), ("sketch", pa.binary()), ("fp", pa.int64())])
 BEGINNINGS = pa.schema([("shingle", pa.int64()), ("digest", pa.int64()), ("n", pa.int32()), ("place", pa.int32())])
+OPEN = pa.schema([*BEGINNINGS, ("root", pa.int64())])
+FOLDED = pa.schema([("digest", pa.int64()), ("sketch", pa.binary())])
 PAIRS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 SETS = pa.schema([("digest", pa.int64()), ("members", pa.binary())])
 
@@ -71,6 +75,14 @@ def sketch(members: np.ndarray) -> bytes:
     return np.packbits(np.bincount((mixed(members) % np.uint64(bits)).astype(np.int64), minlength=bits) & 1).tobytes()
 
 
+def folded(sketch: bytes) -> bytes:
+    """A sketch in SKETCH bits."""
+    x = np.frombuffer(sketch, np.uint64)
+    while len(x) > SKETCH // 64:
+        x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+    return x.tobytes()
+
+
 def differing(x: list[bytes], y: list[bytes]) -> np.ndarray:
     """Places in which the sketches x[i] and y[i] differ, the larger folded to the size of the smaller."""
     out, sizes = np.zeros(len(x), np.int64), np.array([[len(p), len(q)] for p, q in zip(x, y, strict=True)]).reshape(-1, 2)
@@ -187,7 +199,7 @@ def _groups(batches: Iterator[pa.RecordBatch], names: tuple[str, ...]) -> Iterat
     """Columns in steps that do not part the rows of one shingle, which follow each other."""
     held = None
     for batch in batches:
-        now = [batch.column(c).to_numpy() for c in names]
+        now = [batch.column(c).to_numpy(zero_copy_only=False) for c in names]
         if held is not None:
             now = [np.concatenate(x) for x in zip(held, now, strict=True)]
         if not len(now[0]):
@@ -228,35 +240,61 @@ def _pairs(digest: np.ndarray, i: np.ndarray, j: np.ndarray) -> pa.RecordBatch:
 
 
 def first_pairs(met: DataFrame) -> DataFrame:
-    """Distinct pairs of each member of a shingle's texts and a few pivots, least by several orders."""
+    """Distinct pairs of each member of a shingle's texts and a few pivots: those with the fewest rarer members before it. In a
+    group of near copies these are the texts with the least changes of their own, to which most others are alike."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for s, d, n, place in _groups(batches, tuple(BEGINNINGS.names)):
             group = np.cumsum(np.concatenate([[0], s[1:] != s[:-1]]))
+            order = np.lexsort((mixed(d.view(np.uint64)), place, group))
+            begin = np.searchsorted(group, np.arange(group[-1] + 2))  # order keeps the groups where they are
             for k in range(PIVOTS):
-                order = np.lexsort((mixed(d.view(np.uint64) + np.uint64(k)), group))
-                pivot = order[np.searchsorted(group[order], np.arange(group[-1] + 1))][group]
+                pivot = order[np.minimum(begin[:-1] + k, begin[1:] - 1)][group]
                 i = np.flatnonzero((pivot != np.arange(len(d))) & _may(n, place, pivot, np.arange(len(d))))
                 yield _pairs(d, pivot[i], i)
 
     return met.repartition("shingle").sortWithinPartitions("shingle", "digest").mapInArrow(tidy(run), "a long, b long").distinct()
 
 
-def other_pairs(met: DataFrame, roots: DataFrame) -> DataFrame:
-    """Distinct pairs of members of a shingle's texts that are in different classes."""
+def other_pairs(met: DataFrame, sketches: DataFrame, roots: DataFrame) -> DataFrame:
+    """Distinct pairs of members of a shingle's texts that are in different classes, unless sketches differ too much already: these are
+    compared where the texts meet, so a pair that is not alike is hardly ever a row."""
+
+    def several(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for columns in _groups(batches, tuple(OPEN.names)):
+            new = np.concatenate([[True], columns[0][1:] != columns[0][:-1]])
+            begin, root = np.flatnonzero(new), columns[-1]
+            open_ = (np.maximum.reduceat(root, begin) != np.minimum.reduceat(root, begin))[np.cumsum(new) - 1]
+            if open_.any():
+                yield table(OPEN, **{k: x[open_] for k, x in zip(OPEN.names, columns, strict=True)})
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield table(FOLDED, digest=batch.column("digest"), sketch=[folded(x) for x in batch.column("sketch").to_pylist()])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for s, d, n, place, root in _groups(batches, (*BEGINNINGS.names, "root")):
+        for s, d, n, place, root, sketch in _groups(batches, (*OPEN.names, "sketch")):
+            known = np.array([x is not None for x in sketch])
+            bits = np.frombuffer(b"".join(x or bytes(SKETCH // 8) for x in sketch), np.uint64).reshape(len(s), -1)
             i, step = np.arange(len(s)), 1
             while len(i := i[i + step < len(s)]) and len(i := i[s[i] == s[i + step]]):
-                j = i + step
-                may = (root[i] != root[j]) & _may(n, place, i, j)
-                if may.any():
-                    yield _pairs(d, i[may], j[may])
+                may = (root[i] != root[i + step]) & _may(n, place, i, i + step)
+                x, y = i[may], i[may] + step
+                most = (DENOMINATOR - NUMERATOR) * (n[x].astype(np.int64) + n[y])
+                few = (NUMERATOR + DENOMINATOR) * np.bitwise_count(bits[x] ^ bits[y]).sum(axis=1, dtype=np.int64) <= most
+                near = few | ~known[x] | ~known[y]
+                if near.any():
+                    yield _pairs(d, x[near], y[near])
                 step += 1
 
     labelled = met.join(roots.withColumnRenamed("node", "digest"), "digest", "left").select(*BEGINNINGS.names, F.coalesce("root", "digest").alias("root"))
-    return labelled.repartition("shingle").sortWithinPartitions("shingle", "digest").mapInArrow(tidy(run), "a long, b long").distinct()
+    dealt = labelled.repartition("shingle").sortWithinPartitions("shingle", "digest")
+    open_ = settled(dealt.mapInArrow(tidy(several), "shingle long, digest long, n int, place int, root long"), "open")
+    own = sketches.filter(F.col("n") <= SHORT).join(open_.select("digest").distinct(), "digest", "left_semi").select("digest", "sketch")
+    rows = open_.join(own.mapInArrow(tidy(fold), "digest long, sketch binary"), "digest", "left").select(*OPEN.names, "sketch")
+    out = settled(rows.repartition("shingle").sortWithinPartitions("shingle", "digest").mapInArrow(tidy(run), "a long, b long").distinct(), "across")
+    dropped(open_)
+    return out
 
 
 def alike(texts: DataFrame, sketches: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -314,8 +352,9 @@ def classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tu
     tried = settled(linked.unionByName(first_pairs(met)).distinct(), "first-pairs")
     found = alike(texts, sketches, tried)
     near = components(found)
-    more = settled(other_pairs(met, near).join(tried, ["a", "b"], "left_anti"), "other-pairs")
-    dropped(met, tried, linked)
+    across = other_pairs(met, sketches, near)
+    more = settled(across.join(tried, ["a", "b"], "left_anti"), "other-pairs")
+    dropped(met, tried, linked, across)
     rest = alike(texts, sketches, more)
     dropped(more, sketches)
     return prints.select("id", "digest"), components(found.unionByName(rest))

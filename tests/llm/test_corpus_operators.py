@@ -174,12 +174,33 @@ def test_near_copies_are_linked_by_simhash(make, monkeypatch):
     assert reachable(plain, [(r.a, r.b) for r in pairs]) == reachable(plain, brute) and len(brute) > 50
     none = df.sparkSession.createDataFrame([], "a long, b long")
     monkeypatch.setattr(near_copies, "first_pairs", lambda met: none)
-    monkeypatch.setattr(near_copies, "other_pairs", lambda met, roots: none)
+    monkeypatch.setattr(near_copies, "other_pairs", lambda *_: none)
     exact = [(a, b) for a, b in ((r.a, r.b) for r in pairs) if 5 * len(np.intersect1d(sets[a], sets[b])) >= 4 * len(np.union1d(sets[a], sets[b]))]
     got = [r.doc_id for r in corpus_pipeline.near_dedup(None, df, "").collect()]
     assert len(got) == 1 + len(set(reachable(plain, exact).values())) and sum(i < 30 for i in got) < 15
 
 
+@pytest.mark.parametrize("least", [0, 1])  # the text that the copies are made of is there, or not
+def test_pairs_of_near_copies_grow_with_them(make, monkeypatch, least):
+    from siltstone.llm import near_copies
+
+    base, joined = [f"w{i}" for i in range(150)], []
+    plain = near_copies.alike
+    monkeypatch.setattr(near_copies, "alike", lambda texts, sketches, pairs: joined.append(pairs.count()) or plain(texts, sketches, pairs))
+
+    def pairs(n):
+        texts = [t for t in edited(2 * n, base, 5) if sum(w.startswith("own") for w in t.split()) >= least]
+        texts = list(dict.fromkeys(texts))[:n]
+        joined.clear()
+        left = near_copies.representatives(make(*enumerate(texts)).repartition(4)).count()
+        sets = [set(zip(*(t.split()[k:] for k in range(5)), strict=False)) for t in texts]
+        alike = [(i, j) for i in range(n) for j in range(i) if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j])]
+        assert left == len(set(reachable(range(n), alike).values())) > n / 4 and len(joined) == 2
+        return sum(joined)
+
+    assert pairs(400) < 7 * pairs(100)
+
+
 def signed(x):
     x &= (1 << 64) - 1
     return x - (1 << 64) if x >> 63 else x
