@@ -18,6 +18,9 @@ only, and decide what is looked up, not what is found.
 
 Anchors that two ids or more have are gathered in a Bloom filter whose size follows their number. Where it would be larger than
 MOST_BLOOM bits, anchors are dealt into parts by their hash, with a filter and a scan each. A false positive costs a row and changes no result.
+
+Only the texts that a join needs are shuffled: a Bloom filter of ids and marks sends the others past it. Beyond MOST_BLOOM bits it lets more texts
+through to the join, which changes no result either.
 """
 
 from __future__ import annotations
@@ -31,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from siltstone.llm.shared import by_bytes, cleared, line_words, run_hashes, settled, table, trimmed
+from siltstone.llm.shared import by_bytes, cleared, dropped, line_words, run_hashes, settled, table, tidy, trimmed
 
 WINDOW = 50
 #: Bits of a filter for each anchor in it, and of the largest filter (64 MB): more anchors take more scans.
@@ -126,6 +129,35 @@ def bloom(anchors: DataFrame, bits: int) -> np.ndarray:
     return out.view(np.uint64)
 
 
+def holds(filter_: np.ndarray, bits: int, keys: np.ndarray) -> np.ndarray:
+    """Whether the keys may be among those that the filter was made of; never False for one that is."""
+    keys, out = keys.view(np.uint64), np.ones(len(keys), bool)
+    for bit in slots(keys, bits):
+        out &= (filter_[bit >> np.uint64(6)] >> (bit & np.uint64(63)) & np.uint64(1)).astype(bool)
+    return out
+
+
+def _key(id_: str = "id", mark: str = "mark") -> Column:
+    return F.xxhash64(id_, mark)
+
+
+def _keys(rows: DataFrame, key: Column, most_bloom: int) -> Callable[[np.ndarray], np.ndarray]:
+    """holds() for the keys of rows."""
+    bits = min(1 << max(10, (BLOOM_PER_ANCHOR * rows.count()).bit_length()), most_bloom)
+    sent = rows.sparkSession.sparkContext.broadcast(bloom(rows.select(key.alias("anchor")), bits))
+    return lambda keys: holds(sent.value, bits, keys)
+
+
+def _needed(rows: DataFrame, may: Callable[[np.ndarray], np.ndarray]) -> DataFrame:
+    """Those of rows that a join by id and mark may need, written, so that no task has two Python workers at once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(may(batch.column("key").to_numpy()), pa.bool_())).drop_columns(["key"])
+
+    return settled(rows.withColumn("key", _key()).mapInArrow(tidy(run), rows.schema), "needed")
+
+
 def settle_copies(held: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Rows of SEGMENTS -> those of the smallest id of each key, and the others with that id's first place as reference.
     Any document with a smaller id will do as a reference."""
@@ -179,9 +211,7 @@ def _finder(sent, bits: int, window: int, parts: int, part: int) -> Callable:
                 keep = np.ones(len(anchor), bool)
                 if parts > 1:
                     keep &= (anchor.view(np.int64).astype(np.uint64) >> np.uint64(16)) % np.uint64(parts) == np.uint64(part)
-                for bit in slots(anchor, bits):
-                    keep &= (held[bit >> np.uint64(6)] >> (bit & np.uint64(63)) & np.uint64(1)).astype(bool)
-                keep = np.flatnonzero(keep)
+                keep = np.flatnonzero(keep & holds(held, bits, anchor))
                 if not len(keep):
                     continue
                 key = b"".join(hashlib.blake2b(raw[x:y], digest_size=16).digest() for x, y in zip(begin[keep].tolist(), end[keep].tolist(), strict=True))
@@ -216,11 +246,14 @@ def duplicate_places(df: DataFrame, window: int = WINDOW, most_bloom: int = MOST
     """(id, mark, hits): for each id and text that has any, rows of windows (place of the first, n, ref, ref_place) that also
     stand in a document with a smaller id, each window in one of them."""
     rows = _marked(df, id_col, text_col).filter("id is not null and text is not null")
-    every = settled(segment_rows(rows, shared_anchors(rows, window), window, most_bloom), "segments")
+    anchors = shared_anchors(rows, window)
+    every = settled(segment_rows(rows, anchors, window, most_bloom), "segments")
+    dropped(anchors)
     hit = ["id", "mark", "place", "n", "ref", "ref_place"]
     open_ = every.filter("ref is null").drop("ref", "ref_place")
     first = settled(_first(open_).filter("ref < last"), "first-segments")
     joined = settled(_with_first(open_, first, "left").select("anchor", "key", "key2", *hit), "joined-segments")
+    dropped(first)
     copies = joined.filter("id > ref").select(hit)
     owners = joined.filter("ref is null or id = ref")
     # anchors of two different segments
@@ -240,12 +273,16 @@ def duplicate_places(df: DataFrame, window: int = WINDOW, most_bloom: int = MOST
                 yield table(RUNS, key=np.ascontiguousarray(key[:, 0]), key2=np.ascontiguousarray(key[:, 1]), id=np.full(len(place), i), mark=np.full(len(place), m), place=place)
         trimmed()
 
-    texts = rows.join(wanted.withColumnsRenamed({"id": "i", "mark": "m"}), (F.col("id") == F.col("i")) & (F.col("mark") == F.col("m"))).select("id", "mark", "text", "rows")
+    needed = _needed(rows, _keys(wanted, _key(), most_bloom))
+    texts = needed.join(wanted.withColumnsRenamed({"id": "i", "mark": "m"}), (F.col("id") == F.col("i")) & (F.col("mark") == F.col("m"))).select("id", "mark", "text", "rows")
     runs = settled(texts.mapInArrow(singly, "key long, key2 long, id long, mark long, place long"), "runs")
+    dropped(wanted, needed)
     found = _with_first(runs, _first(runs).filter("ref < last"), "inner").filter("id > ref").withColumn("n", F.lit(1).cast("long")).select(hit)
     hits = every.filter("ref is not null").select(hit).unionByName(copies).unionByName(found).repartition("id", "mark")
     one = hits.groupBy("id", "mark", "place").agg(F.max("n").alias("n"), F.min_by("ref_place", "ref").alias("there"), F.min("ref").alias("ref"))  # of repeated rows, each place once
-    return one.groupBy("id", "mark").agg(F.collect_list(F.struct("place", "n", "ref", F.col("there").alias("ref_place"))).alias("hits"))
+    out = settled(one.groupBy("id", "mark").agg(F.collect_list(F.struct("place", "n", "ref", F.col("there").alias("ref_place"))).alias("hits")), "hits")
+    dropped(every, joined, runs)
+    return out
 
 
 def parse(hits: list[tuple[int, int, int, int]], window: int) -> list[tuple[int, int, int, int]]:
@@ -272,27 +309,35 @@ def _kept(words: list[bytes], factors: list[tuple[int, int, int, int]]) -> list[
 
 def _apply(df: DataFrame, window: int, most_bloom: int, id_col: str, text_col: str, make, schema: pa.Schema, sql: str, carry: tuple[str, ...] = ()) -> DataFrame:
     """make(text, words, factors) for each row; columns named in carry pass through."""
-    hits = settled(duplicate_places(df, window, most_bloom, id_col, text_col).withColumnsRenamed({"id": "hit_id", "mark": "hit_mark"}), "hits")
+    hits = duplicate_places(df, window, most_bloom, id_col, text_col).withColumnsRenamed({"id": "hit_id", "mark": "hit_mark"})
+    may = _keys(hits, _key("hit_id", "hit_mark"), most_bloom)
     along = [f"c{i}" for i in range(len(carry))]
     rows = _marked(df, id_col, text_col) if not carry else df.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("mark"), F.col(text_col).alias("text"), *(F.col(c).alias(a) for c, a in zip(carry, along, strict=True)))
-    joined = rows.join(hits, (F.col("id") == F.col("hit_id")) & (F.col("mark") == F.col("hit_mark")), "left").select("id", "text", "hits", *along)
+    joined = _needed(rows, may).join(hits, (F.col("id") == F.col("hit_id")) & (F.col("mark") == F.col("hit_mark")), "left").select("id", "text", "hits", *along)
     sql = ", ".join([sql, *(f"{a} {df.schema[c].dataType.simpleString()}" for c, a in zip(carry, along, strict=True))])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def one(batch: pa.RecordBatch, hits: pa.Array | None) -> pa.RecordBatch:
+        texts, out = batch.column("text"), []
+        for i in range(batch.num_rows):
+            text = texts[i].as_py()
+            factors = []
+            if hits is not None and hits[i].is_valid:
+                h = hits[i].values
+                factors = parse(list(zip(*(h.field(k).to_pylist() for k in ("place", "n", "ref", "ref_place")), strict=True)), window)
+            out.append(make(text, (text or "").encode().split(), factors))
+        columns = dict(zip(schema.names[1:], map(list, zip(*out, strict=True)), strict=True)) if out else {k: [] for k in schema.names[1:]}
+        made = table(schema, id=batch.column("id"), **columns)
+        return pa.RecordBatch.from_arrays([*made.columns, *(batch.column(a) for a in along)], names=[*schema.names, *along])
+
+    def met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield one(batch, batch.column("hits"))
+
+    def past(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, hits, out = batch.column("text"), batch.column("hits"), []
-            for i in range(batch.num_rows):
-                text = texts[i].as_py()
-                factors = []
-                if hits[i].is_valid:
-                    h = hits[i].values
-                    factors = parse(list(zip(*(h.field(k).to_pylist() for k in ("place", "n", "ref", "ref_place")), strict=True)), window)
-                out.append(make(text, (text or "").encode().split(), factors))
-            columns = dict(zip(schema.names[1:], map(list, zip(*out, strict=True)), strict=True)) if out else {k: [] for k in schema.names[1:]}
-            made = table(schema, id=batch.column("id"), **columns)
-            yield pa.RecordBatch.from_arrays([*made.columns, *(batch.column(a) for a in along)], names=[*schema.names, *along])
-
-    found = joined.mapInArrow(run, sql)
+            yield one(batch.filter(pa.array(~may(batch.column("key").to_numpy()), pa.bool_())), None)
+
+    found = joined.mapInArrow(met, sql).unionByName(rows.withColumn("key", _key()).mapInArrow(past, sql))
     return found.select(F.col("id").alias(id_col), *schema.names[1:], *(F.col(a).alias(c) for c, a in zip(carry, along, strict=True)))
 
 

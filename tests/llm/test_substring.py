@@ -111,3 +111,23 @@ def test_spans_and_texts(make, tiny):
     rows = substring.deduplicate(tiny).collect()
     assert len(rows) == 13 and {r.doc_id: r.n_removed for r in rows}[8] == 120_000 and {r.doc_id: r.kept for r in rows}[2] is None
     assert substring.deduplicate(tiny.filter("false")).count() == 0
+
+
+def test_texts_without_repeats_are_not_shuffled(make, spark):
+    rng = random.Random(8)
+    words = lambda n: " ".join(f"{rng.getrandbits(48):012x}" for _ in range(n))
+    docs = [(i, words(300)) for i in range(500)]
+    docs += [(1000 + i, f"{words(20)} {docs[i][1]}") for i in range(10)]
+    df = make(*docs).repartition(4).cache()
+    df.count()
+    shuffled = lambda: sum(e.totalShuffleWrite() for e in list_of(spark.sparkContext._jsc.sc().statusStore().executorList(True)))
+    list_of = lambda seq: [seq.apply(i) for i in range(seq.size())]
+    least = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        before = shuffled()
+        assert removed(df) == brute_removed(docs, 50)
+        assert 0 < shuffled() - before < sum(len(t) for _, t in docs) / 2
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", least)
+        df.unpersist()
