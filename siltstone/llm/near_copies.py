@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from siltstone.llm import simhash
 from siltstone.llm.components import components
 from siltstone.llm.shared import ODD, by_bytes, dropped, free_name, line_words, mixed, settled, table, tidy
+from siltstone.llm.substring import MOST_BLOOM, keys_held
 
 SHINGLE = 5
 #: The least similarity, as a fraction.
@@ -360,13 +361,15 @@ def classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tu
     return prints.select("id", "digest"), components(found.unionByName(rest))
 
 
-def representatives(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def representatives(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", most_bloom: int = MOST_BLOOM) -> DataFrame:
     """df with one row of each class of texts that are alike, or are connected by such: that of the
     smallest id, null after all others; of several of its rows the one with the least set hash, then text.
 
     Equal sets, empty ones (null and wordless texts) included, are alike. Every row belongs to a class,
     whatever its id. Sets are compared by 64-bit hashes of shingles, equal ones by 64 bits a set. No list
     of a class is gathered; a pair of texts that are not alike is compared once at most in each round.
+    A Bloom filter of the ids that some row loses, or that have rows of one set, sends all other rows past the join that
+    chooses; its size follows their number, and beyond most_bloom bits it only lets more rows into the join.
     """
     prints, roots = classes(df, id_col, text_col)
     least = prints.groupBy("digest").agg(F.min("id").alias("least"))
@@ -375,12 +378,29 @@ def representatives(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     own, id_, none, nth = (free_name(df, f"siltstone_{k}") for k in ("own", "id", "none", "nth"))
     of = lambda c: (F.coalesce(F.col(c).cast("long"), F.lit(0)).alias(id_), F.col(c).isNull().alias(none))
     chosen = settled(chosen.select(F.col("c.digest").alias(own), *of("c.least")), "chosen")
+    counted = prints.filter("id is not null").groupBy("id", "digest").agg(F.count("*").alias("rows"))
+    unsure = counted.join(chosen.filter(~F.col(none)), (F.col("id") == F.col(id_)) & (F.col("digest") == F.col(own)), "left")
+    unsure = settled(unsure.filter(F.col(own).isNull() | (F.col("rows") > 1)).select("id").distinct(), "unsure")
+    may = keys_held(unsure, F.xxhash64("id"), most_bloom)
+    key = F.when(F.col(id_col).cast("long").isNotNull(), F.xxhash64(F.col(id_col).cast("long")))
+
+    def open_(keys: pa.Array) -> np.ndarray:
+        return keys.is_null().to_numpy(zero_copy_only=False) | may(keys.fill_null(0).to_numpy(zero_copy_only=False))
+
+    @F.arrow_udf("boolean")
+    def past(keys: pa.Array) -> pa.Array:
+        return pa.array(~open_(keys), pa.bool_())
 
     @F.arrow_udf("long")
-    def digested(texts: pa.Array) -> pa.Array:
-        texts = texts.to_pylist()
-        return pa.array([digest(s) for a, b in by_bytes(texts, HASHED) for s in shingle_sets(texts[a:b])], pa.int64())
+    def digested(keys: pa.Array, texts: pa.Array) -> pa.Array:
+        ask = open_(keys)
+        texts, out = texts.filter(pa.array(ask, pa.bool_())).to_pylist(), np.zeros(len(ask), np.int64)
+        out[ask] = [digest(s) for a, b in by_bytes(texts, HASHED) for s in shingle_sets(texts[a:b])]
+        return pa.array(out, mask=~ask)
 
     keys = [own, id_, none]
-    rows = df.select("*", digested(F.col(text_col)).alias(own), *of(id_col)).join(chosen, keys, "left_semi")
-    return rows.withColumn(nth, F.row_number().over(W.partitionBy(*keys).orderBy(text_col))).filter(F.col(nth) == 1).select(*df.columns)
+    # not deterministic for the planner, which would else filter on it below the join and so compute it twice, by two workers a task
+    asked = df.select("*", digested.asNondeterministic()(key, F.col(text_col)).alias(own), *of(id_col)).filter(F.col(own).isNotNull())
+    rows = asked.join(chosen, keys, "left_semi")
+    one = rows.withColumn(nth, F.row_number().over(W.partitionBy(*keys).orderBy(text_col))).filter(F.col(nth) == 1).select(*df.columns)
+    return df.filter(past(key)).unionByName(one)

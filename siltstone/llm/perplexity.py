@@ -397,7 +397,8 @@ def _judged(df: DataFrame, columns: list[str], text_col: str, lang_col: str, dev
     facts = F.struct(*(s[k].alias(k) for k in COUNTS), failed.alias("base_failed"), x.alias("x"), F.xxhash64(text_col).alias("text_key"), F.col(lang_col).cast("string").alias("lang"))
     # a second projection, so that the struct is computed before it is taken apart
     held = settled(full.withColumn(name, facts).select(*columns, name), "scores")
-    drawn = bands(held.select(f"{name}.*").filter("not base_failed"), deviations, least_half).select(F.struct("of", "middle", "half").alias(free_name(df, "siltstone_band")))
+    # written, so that the planner knows how few they are and does not shuffle the rows to them
+    drawn = settled(bands(held.select(f"{name}.*").filter("not base_failed"), deviations, least_half), "bands").select(F.struct("of", "middle", "half").alias(free_name(df, "siltstone_band")))
     band = F.col(free_name(df, "siltstone_band"))
     return held.join(drawn, F.col(name)["lang"].eqNullSafe(band["of"]), "left"), name
 

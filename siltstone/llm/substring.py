@@ -141,7 +141,7 @@ def _key(id_: str = "id", mark: str = "mark") -> Column:
     return F.xxhash64(id_, mark)
 
 
-def _keys(rows: DataFrame, key: Column, most_bloom: int) -> Callable[[np.ndarray], np.ndarray]:
+def keys_held(rows: DataFrame, key: Column, most_bloom: int) -> Callable[[np.ndarray], np.ndarray]:
     """holds() for the keys of rows."""
     bits = min(1 << max(10, (BLOOM_PER_ANCHOR * rows.count()).bit_length()), most_bloom)
     sent = rows.sparkSession.sparkContext.broadcast(bloom(rows.select(key.alias("anchor")), bits))
@@ -273,7 +273,7 @@ def duplicate_places(df: DataFrame, window: int = WINDOW, most_bloom: int = MOST
                 yield table(RUNS, key=np.ascontiguousarray(key[:, 0]), key2=np.ascontiguousarray(key[:, 1]), id=np.full(len(place), i), mark=np.full(len(place), m), place=place)
         trimmed()
 
-    needed = _needed(rows, _keys(wanted, _key(), most_bloom))
+    needed = _needed(rows, keys_held(wanted, _key(), most_bloom))
     texts = needed.join(wanted.withColumnsRenamed({"id": "i", "mark": "m"}), (F.col("id") == F.col("i")) & (F.col("mark") == F.col("m"))).select("id", "mark", "text", "rows")
     runs = settled(texts.mapInArrow(singly, "key long, key2 long, id long, mark long, place long"), "runs")
     dropped(wanted, needed)
@@ -310,7 +310,7 @@ def _kept(words: list[bytes], factors: list[tuple[int, int, int, int]]) -> list[
 def _apply(df: DataFrame, window: int, most_bloom: int, id_col: str, text_col: str, make, schema: pa.Schema, sql: str, carry: tuple[str, ...] = ()) -> DataFrame:
     """make(text, words, factors) for each row; columns named in carry pass through."""
     hits = duplicate_places(df, window, most_bloom, id_col, text_col).withColumnsRenamed({"id": "hit_id", "mark": "hit_mark"})
-    may = _keys(hits, _key("hit_id", "hit_mark"), most_bloom)
+    may = keys_held(hits, _key("hit_id", "hit_mark"), most_bloom)
     along = [f"c{i}" for i in range(len(carry))]
     rows = _marked(df, id_col, text_col) if not carry else df.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("mark"), F.col(text_col).alias("text"), *(F.col(c).alias(a) for c, a in zip(carry, along, strict=True)))
     joined = _needed(rows, may).join(hits, (F.col("id") == F.col("hit_id")) & (F.col("mark") == F.col("hit_mark")), "left").select("id", "text", "hits", *along)

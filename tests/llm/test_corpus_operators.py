@@ -201,6 +201,32 @@ def test_pairs_of_near_copies_grow_with_them(make, monkeypatch, least):
     assert pairs(400) < 7 * pairs(100)
 
 
+@pytest.mark.parametrize("most_bloom", [1 << 10, 1 << 29])  # a filter that is too small costs rows only
+def test_rows_that_surely_stay_are_not_shuffled(make, spark, most_bloom):
+    from siltstone.llm import near_copies
+
+    rng = random.Random(4)
+    docs = [(i, " ".join(f"{rng.getrandbits(160):040x}" for _ in range(200))) for i in range(300)]
+    want = [*docs, (None, "no id")]
+    docs = [*want, *((1000 + i, docs[i][1]) for i in range(5)), (7, docs[7][1]), (8, docs[7][1]), (None, docs[9][1]), (None, "no id")]
+    df = make(*docs).repartition(4).cache()
+    df.count()
+    shuffled = lambda: sum(e.totalShuffleWrite() for e in list_of(spark.sparkContext._jsc.sc().statusStore().executorList(True)))
+    list_of = lambda seq: [seq.apply(i) for i in range(seq.size())]
+    least = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = near_copies.representatives(df, **({"most_bloom": most_bloom} if most_bloom < 1 << 29 else {}))
+        assert kept._jdf.queryExecution().optimizedPlan().toString().count("ArrowEvalPython [digested(") == 1  # by one worker a task
+        before = shuffled()
+        assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted(want, key=str)
+        if most_bloom == 1 << 29:
+            assert 0 < shuffled() - before < sum(len(t) for _, t in docs) / 5
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", least)
+        df.unpersist()
+
+
 def signed(x):
     x &= (1 << 64) - 1
     return x - (1 << 64) if x >> 63 else x

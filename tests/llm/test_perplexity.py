@@ -156,6 +156,20 @@ def banded(spark, values):
     return [abs(x - band.middle) <= band.half for x, _ in values]
 
 
+def test_bands_are_sent_to_the_rows(make, spark):
+    """Whole rows are not shuffled to the few bands."""
+    rng = random.Random(2)
+    df = make(*((i, " ".join(f"{rng.getrandbits(24):06x}" for _ in range(60)), "de" if i % 2 else "en") for i in range(400)))
+    least = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "64k")
+    try:
+        kept = perplexity.passing(df)
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and kept.count() > 300
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", least)
+
+
 @pytest.mark.parametrize("share", [0.0, 0.1, 0.24, 0.26, 0.33, 0.4, 0.45])
 def test_junk_does_not_widen_the_band(spark, share):
     rng = random.Random(5)
