@@ -146,7 +146,7 @@ def edges_of(spark: SparkSession, path: str) -> DataFrame:
 def replaced_edges(old: DataFrame, new: DataFrame, repos: DataFrame) -> DataFrame:
     """old with the edges of the rebuilt repositories (repo) dropped and new ones in their place: a repository that resolves to no
     edge has none afterwards."""
-    rebuilt = repos.select("repo").distinct()
+    rebuilt = F.broadcast(repos.select("repo").distinct())  # edges stay where they are
     rest = old.join(rebuilt, "repo", "left_anti").select(*EDGE.names)
     return rest.unionByName(conform(new.join(rebuilt, "repo", "left_semi"), EDGE))
 

@@ -1,6 +1,7 @@
 """Operators on small inputs of our own: documentation pages, graph, search, store."""
 
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -80,6 +81,28 @@ def test_graph(spark):
     assert {(r.fq, r.name, r.candidates) for r in graph.ambiguous_references(symbols(spark)).collect()} == {("r:b.ts:Stock.find", "check", 2)}
 
 
+@pytest.mark.parametrize("names, task", [(10**6, 10**6), (0, 2)])
+def test_graph_by_broadcast_and_by_join(spark, monkeypatch, names, task):
+    monkeypatch.setattr(graph, "BROADCAST", names)
+    monkeypatch.setattr(graph, "TASK", task)
+    test_graph(spark)
+    same = graph.resolve_edges(symbols(spark).union(symbols(spark)))  # records of one full name that say the same
+    assert sorted(map(repr, same.collect())) == sorted(map(repr, graph.resolve_edges(symbols(spark)).collect()))
+    assert {(r.to_symbol, r.to_path, r.to_name) for r in same.collect()} >= {("r:c.ts:Base", "c.ts", "Base"), ("r:b.ts:Stock.find", "b.ts", "Stock.find")}
+
+
+def shuffles(df):
+    return len(re.findall(r"\bExchange ", df._jdf.queryExecution().executedPlan().toString()))
+
+
+def test_references_are_shuffled_once_and_edges_stay_where_they_are(spark):
+    edges = graph.resolve_edges(symbols(spark))
+    assert shuffles(edges) == 1 and shuffles(graph.ambiguous_references(symbols(spark))) == 1
+    replaced = store.replaced_edges(edges, edges.filter("relationship = 'calls'"), symbols(spark).select("repo"))
+    assert "SortMergeJoin" not in replaced._jdf.queryExecution().executedPlan().toString()
+    assert {r.relationship for r in replaced.collect()} == {"calls"}
+
+
 def test_symbol_context(spark):
     chunks = symbols(spark).select("*", F.lit("u").alias("url"), F.lit(1).alias("start_line"), F.lit("c").alias("chunk_id"), F.rpad(F.lit("z"), 500, "z").alias("display_content"))
     edges = graph.resolve_edges(symbols(spark))
