@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import gc
 from bisect import bisect_right
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -34,13 +36,26 @@ FOUND_SQL = (
 )
 
 
+@contextmanager
+def uncollected() -> Iterator[None]:
+    """Without searches for cycles: syntax trees have none, and they are large."""
+    was = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if was:
+            gc.enable()
+
+
 def scanned(content: str | None, language: str | None, path: str | None) -> tuple[SourceFile, str | None]:
     """What one file holds, and a message where its scanner failed: then it has no symbol and becomes one chunk."""
     scan = SCANNERS.get(language or "")
     if content is None or scan is None:
         return SourceFile(), None
     try:
-        return (typescript.scan(content, not (path or "").endswith(".ts")) if scan is typescript.scan else scan(content)), None
+        with uncollected():
+            return (typescript.scan(content, not (path or "").endswith(".ts")) if scan is typescript.scan else scan(content)), None
     except Exception as e:  # one file must not end the job
         return SourceFile(), f"{type(e).__name__}: {e}"[:500]
 
@@ -58,7 +73,7 @@ def _lists(rows: list[list[str]]) -> pa.ListArray:
 
 
 def found_array(contents: list[str | None], languages: list[str | None], paths: list[str | None]) -> pa.StructArray:
-    """FOUND of each file, its columns built one by one. A file without symbols has one that is nameless and holds it whole."""
+    """FOUND of each file, its columns built one by one. A file without symbols has one that is nameless and holds it whole, null content has none."""
     imports, headers, packages, errors, ends = [], [], [], [], [0]
     columns: dict[str, list] = {f.name: [] for f in SYMBOL}
     for content, language, path in zip(contents, languages, paths, strict=True):
@@ -67,7 +82,7 @@ def found_array(contents: list[str | None], languages: list[str | None], paths:
         headers.append(found.header)
         packages.append(found.package)
         errors.append(error)
-        content = content or ""
+        missing, content = content is None, content or ""
         starts = line_starts(content)
         for s in found.symbols:
             columns["name"].append(s.name)
@@ -78,7 +93,7 @@ def found_array(contents: list[str | None], languages: list[str | None], paths:
             columns["exported"].append(s.exported)
             for k in (*LISTS, *TEXTS):
                 columns[k].append(getattr(s, k))
-        if not found.symbols:
+        if not found.symbols and not missing:
             for k, value in {"body": content, "start_line": 1, "end_line": len(starts), "exported": False}.items():
                 columns[k].append(value)
             for k in columns.keys() - {"body", "start_line", "end_line", "exported"}:
@@ -90,13 +105,14 @@ def found_array(contents: list[str | None], languages: list[str | None], paths:
 
 
 def find_symbols(content: str, language: str, path: str) -> Column:
-    """FOUND of each file as a column."""
+    """FOUND of each file as a column. Spark takes it as not deterministic, else it would copy it, and what makes the content, into filters that it infers, and
+    scan each file once for each."""
 
     @F.arrow_udf(FOUND_SQL)
     def found(content: pa.Array, language: pa.Array, path: pa.Array) -> pa.Array:
         return found_array(content.to_pylist(), language.to_pylist(), path.to_pylist())
 
-    return found(content, language, path)
+    return found.asNondeterministic()(content, language, path)
 
 
 def chunk_code(docs: DataFrame) -> DataFrame:
@@ -107,7 +123,7 @@ def chunk_code(docs: DataFrame) -> DataFrame:
         if name not in docs.columns:
             docs = docs.withColumn(name, F.lit(None).cast(kind))
     about = ("source_id", "repo", "file_path", "language", "url", "last_modified", "content_hash")
-    files = docs.filter(F.col("content").isNotNull()).select(*about, find_symbols("content", "language", "file_path").alias("f"))
+    files = docs.select(*about, find_symbols("content", "language", "file_path").alias("f"))
     f = F.col("f")
     each = files.select(*about, f["imports"].alias("imports"), f["header"].alias("header"), f["package"].alias("package"), f["error"].alias("error"), F.explode(f["symbols"]).alias("s"))
     s = lambda name: F.col("s")[name]

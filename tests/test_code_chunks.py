@@ -2,6 +2,8 @@
 
 import time
 
+from pyspark.sql import functions as F
+
 from siltstone.operators.code import java, python, typescript
 from siltstone.operators.code_chunks import chunk_code, found_array, line_starts, scanned
 from siltstone.samples import BARE, BROKEN, JAVA, PYTHON, SCRIPT
@@ -114,3 +116,34 @@ def test_chunks(spark):
     plan = chunks._jdf.queryExecution().optimizedPlan().toString()
     generate = next(x for x in plan.splitlines() if "Generate explode" in x)
     assert "content#" not in generate.split("Generate", 1)[1]
+
+
+def test_runs_of_bare_calls_need_no_tree():
+    run = "".join(f"    c{i}()\n" for i in range(6))
+    source = f"def f():\n{run}    return last(first())\n\ndef g():\n    \"\"\"\n{run}    \"\"\"\n    x = \\\n{run}    if x:\n{run.replace('    ', '        ')}{run}"
+    runs = python.Runs(source)
+    assert runs.short.count("\n") == source.count("\n") and len(runs.short) < len(source) - 60 and runs.lines
+    found = {s.name: s for s in python.scan(source).symbols}
+    six = [f"c{i}" for i in range(6)]
+    assert found["f"].calls == [*six, "last", "first"] and lines(source, found["f"]) == (1, 8)
+    assert found["g"].calls[:6] == six and found["g"].calls.count("c3") == 3 and len(found["g"].calls) == 18  # those of the string are no calls
+    assert python.scan("def f():\n    a()\n    not()\n    b()\n    c()\n").symbols[0].calls == ["a", "b", "c"]
+
+
+def test_bare_calls_are_read_fast():
+    source = "".join(f"def f{i}():\n" + "    call()\n" * 2_000 + "    return 1\n" for i in range(50))
+    began = time.process_time()
+    tree = __import__("ast").parse(source)
+    parsed = time.process_time() - began
+    del tree
+    began = time.process_time()
+    found = python.scan(source)
+    assert sum(len(s.calls) for s in found.symbols) == 100_000 and time.process_time() - began < parsed
+
+
+def test_each_file_is_scanned_once(spark):
+    docs = spark.createDataFrame([("a", "def f(): pass", "f.py", "python"), ("b", None, "g.py", "python")], "source_id string, content string, file_path string, language string")
+    got = chunk_code(docs.withColumn("content", F.concat("content", F.lit("\n")))).filter("symbol_name is not null")
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("found(") == 1 and plan.count("ArrowEvalPython") == 1
+    assert [(r.source_id, r.symbol_name) for r in got.collect()] == [("a", "f")]
