@@ -54,18 +54,19 @@ def sections(pages: DataFrame) -> DataFrame:
     return grouped.select("source_id", "section", "level", F.coalesce("heading_path", F.array().cast("array<string>")).alias("heading_path"), "start_line", "end_line", body.alias("body"))
 
 
-def chunk_pages(pages: DataFrame) -> DataFrame:
+def chunk_pages(pages: DataFrame, whole: bool = True) -> DataFrame:
     """Chunks of Markdown pages (source_id unique, content, file_path the title, labels, repo, url, last_modified, content_hash).
 
     Sections of fewer than LEAST characters give no chunk, though they remain in the paths of those below.
-    A page without headings is one chunk whatever its length. Pages with null content give none.
+    A page without headings is one chunk whatever its length, or, unless whole, an intro like what stands before a first heading. Pages
+    with null content give none.
     Lines are shuffled once, by page.
     """
     pages = pages.filter(F.col("content").isNotNull() & F.col("source_id").isNotNull())
     for name, kind in (("repo", "string"), ("url", "string"), ("last_modified", "timestamp"), ("content_hash", "string"), ("labels", "array<string>"), ("file_path", "string")):
         if name not in pages.columns:
             pages = pages.withColumn(name, F.lit(None).cast(kind))
-    found = sections(pages).withColumn("headed", F.max("level").over(W.partitionBy("source_id")) > 0)
+    found = sections(pages).withColumn("headed", F.max("level").over(W.partitionBy("source_id")) > 0 if whole else F.lit(True))
     kept = found.filter(~F.col("headed") | (F.length("body") >= LEAST))
     named = F.when(~F.col("headed"), "(page)").when(F.col("level") == 0, "(intro)").otherwise(F.element_at(F.when(F.size("heading_path") > 0, F.col("heading_path")), -1))
     parts = kept.withColumn("name", named).withColumn("parts", F.when(F.col("headed"), windows(F.col("body"))).otherwise(F.array("body")))
