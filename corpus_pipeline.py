@@ -11,25 +11,12 @@ from pyspark.sql import functions as F
 from siltstone.llm import classifier, near_copies, packing, perplexity, substring
 from siltstone.llm.entries import tokenizer_path
 from siltstone.llm.shared import settled
+from siltstone.runtime import modest
 
-
-#: Rows that Spark hands to a Python worker at once, at most: whole texts of long stages in one executor add up.
-ARROW_ROWS = 1_000
-#: Bytes of such a batch, about, at most: long texts would make it large.
-ARROW_BYTES = 2 << 20
 #: Entries of the caches that packing's encoders keep, fewer than by default for the same reason.
 CACHED = 40_000
 
 
-def modest(spark: SparkSession) -> None:
-    """Sets the session's Arrow batches to ARROW_ROWS rows and ARROW_BYTES bytes, unless the rows are fewer: memory in the JVM and in
-    Python workers follows them."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(key)) <= ARROW_ROWS:
-        spark.conf.set(key, str(ARROW_ROWS))
-        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
-
-
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Row by row: null and short texts go, rows of one id or of none are judged each, equal texts alike; an empty table stays empty."""
     modest(spark)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltstone.functions.html import markdown
+from siltstone.functions.html import with_markdown
 from siltstone.functions.paths import content_hash
 from siltstone.runtime import checkpointed
 from siltstone.schema import RAW_DOCUMENT, conform
@@ -54,8 +54,7 @@ def raw_documents(pages: DataFrame, space: str, site: str = "", labels: DataFram
     if labels is not None:
         grouped = labels.groupBy(F.col("page_id").cast("string").alias("id")).agg(F.sort_array(F.collect_list("name")).alias("labels"))
         named = named.join(grouped, "id", "left")
-    text = markdown(F.coalesce("html", F.lit("")))
-    docs = named.withColumn("content", text).withColumns(
+    docs = with_markdown(named, F.coalesce("html", F.lit("")), "content").withColumns(
         {
             "source_type": F.lit("confluence"), "source_id": F.concat(F.lit(f"confluence:{space}:"), "id"), "repo": F.lit(space), "provider": F.lit("confluence"), "file_path": F.col("breadcrumb"),
             "url": F.concat(F.lit(site), "webui"), "last_modified": F.to_timestamp("created_at"), "content_hash": content_hash(F.col("content")),

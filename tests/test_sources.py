@@ -3,10 +3,13 @@
 import base64
 import json
 
+import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
-from siltstone.functions.html import to_markdown
+from siltstone.functions.html import to_markdown, with_markdown
 from siltstone.operators import embed
+from siltstone.operators.code_chunks import chunk_code
 from siltstone.operators.store import Snapshots, edges_of
 from siltstone.plans import ingest, tools
 from siltstone.sources import connectors
@@ -239,3 +242,18 @@ def test_data_source_is_registered(spark):
     register(spark)
     with pytest.raises(Exception, match="target"):
         spark.read.format("siltstone_repository").load().count()
+
+
+@pytest.mark.parametrize("operator", ["markdown"])
+def test_workers_get_few_bytes_at_once(spark, operator):
+    @F.pandas_udf("long")
+    def together(x: pd.Series) -> pd.Series:
+        return pd.Series([len(x)] * len(x))
+
+    for key in ("maxRecordsPerBatch", "maxBytesPerBatch"):
+        spark.conf.unset(f"spark.sql.execution.arrow.{key}")
+    long = spark.range(0, 200, 1, 1).select(F.col("id").cast("string").alias("source_id"), F.repeat(F.lit("word "), 20_000).alias("content"), F.lit("f.py").alias("file_path"), F.lit("python").alias("language"))
+    made = {"markdown": lambda: with_markdown(long, F.col("content")), "embedded": lambda: embed.embedded(long, embed.HashEmbedder(4)), "code": lambda: chunk_code(long)}[operator]()
+    assert made.select(F.max(together("content"))).first()[0] <= 40  # of 100 KB each
+    short = spark.range(0, 5_000, 1, 1).select(F.col("id").cast("string").alias("content"))
+    assert short.select(F.max(together("content"))).first()[0] <= 1_000
