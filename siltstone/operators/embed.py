@@ -18,6 +18,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from siltstone.runtime import modest
+
 BATCH, DIMENSIONS, RETRIES, DEEPEST, LEAST = 128, 1024, 5, 4, 200
 PASSAGE, QUERY = "nl2code.passage", "nl2code.query"
 Vector = list[float]
@@ -133,4 +135,5 @@ def embedded(chunks: DataFrame, embedder: Embedder, text_col: str = "content", s
             found = iter(embed_texts(embedder, [t for t in texts if t is not None]))
             yield pd.Series([None if t is None else next(found) for t in texts], dtype=object)
 
+    modest(chunks.sparkSession)
     return (chunks.coalesce(streams) if streams else chunks).withColumn("embedding", embed(F.col(text_col)))

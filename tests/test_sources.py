@@ -244,7 +244,7 @@ def test_data_source_is_registered(spark):
         spark.read.format("siltstone_repository").load().count()
 
 
-@pytest.mark.parametrize("operator", ["markdown"])
+@pytest.mark.parametrize("operator", ["markdown", "embedded", "code"])
 def test_workers_get_few_bytes_at_once(spark, operator):
     @F.pandas_udf("long")
     def together(x: pd.Series) -> pd.Series:
